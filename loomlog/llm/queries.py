@@ -14,6 +14,24 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.packing import pack_sequences
+
+    return pack_sequences(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), length=4096, end_id=2).withColumnRenamed("doc", "doc_id")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), limit=512).withColumnRenamed("doc", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.exact_dedup import exact_duplicates
 
@@ -28,5 +46,9 @@ select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (part
 from n
 """
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_token_counts": op2_token_counts,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 ORACLES = {"op10_exact_dedup": OP10_SQL}
