@@ -32,6 +32,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), limit=512).withColumnRenamed("doc", "doc_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.mixing import mix_documents
+
+    return mix_documents(documents(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.exact_dedup import exact_duplicates
 
@@ -49,6 +55,7 @@ from n
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
+    "op4_mixing": op4_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {"op10_exact_dedup": OP10_SQL}
