@@ -38,6 +38,33 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(documents(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.quality_rules import quality_rules
+
+    out = quality_rules(documents(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP6_SQL = r"""
+with t as (select doc_id, coalesce(text, '') as text, row_number() over () as r from documents),
+p as (select r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from t),
+b as (select r, doc_id, text, w, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) as n_lines,
+             len(lines) - len(list_distinct(lines)) as n_dup_lines,
+             len(regexp_extract_all(text, '[A-Z]')) as n_upper, len(regexp_extract_all(text, '[0-9]')) as n_digits from p),
+s as (select r, i, w[i:i+7] as win from (select r, w, unnest(generate_series(1, n_words - 7)) as i from b where n_words > 8)),
+d as (select r, i from (select r, i, count(*) over (partition by r, win) as c from s) where c > 1),
+c as (select r, count(distinct i + k) as n from d, (select unnest(generate_series(0, 7)) as k) group by r),
+f as (select b.*, coalesce(c.n, 0) as n_repeat_words from b left join c using (r)),
+g as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from f)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not (2 * n_symbols > n_words or (2 * n_dup_lines > n_lines and n_dup_lines >= 3)
+         or word_chars > 25 * n_words or word_chars < 2 * n_words or 2 * n_upper > word_chars or 2 * n_digits > word_chars) as kept
+from g
+"""
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.exact_dedup import exact_duplicates
 
@@ -56,6 +83,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
     "op4_mixing": op4_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op10_exact_dedup": OP10_SQL}
+ORACLES = {"op6_quality_rules": OP6_SQL, "op10_exact_dedup": OP10_SQL}
