@@ -65,6 +65,13 @@ from g
 """
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.sharding import balanced_shards
+
+    out = balanced_shards(documents(spark, sf_dir), shards=16)
+    return out.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.exact_dedup import exact_duplicates
 
@@ -84,6 +91,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {"op6_quality_rules": OP6_SQL, "op10_exact_dedup": OP10_SQL}
