@@ -96,3 +96,27 @@ def table(schema: T.StructType, **columns) -> pa.RecordBatch:
     arrow = to_arrow_schema(schema)
     arrays = [columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], type=f.type) for f in arrow]
     return pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
+
+
+def salted_totals(rows: DataFrame, key: str, spread: str, measures: dict, salts: int = 64) -> DataFrame:
+    """Totals of ``measures`` (column -> sum expression) per key, one row for each (key, salt) that occurs.
+
+    ``rows`` may be joined with the result on (key, salt) without a task receiving a whole hot key. Keys may be null.
+    ``spread`` is a column that differs between the rows of a key.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+    counts = salted.groupBy(key, "salt").agg(*[F.sum(e).alias(n) for n, e in measures.items()])
+    totals = counts.groupBy(key).agg(*[F.sum(n).alias(n) for n in measures], F.collect_set("salt").alias("salts"))
+    return totals.select(F.col(key).alias("total_key"), *measures, F.explode("salts").alias("total_salt"))
+
+
+#: Rows that a filter names are broadcast up to this many (16 bytes each), joined by a shuffle beyond.
+BROADCAST_ROWS = 200_000
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of docs but those in dropped(doc, mark), where mark is xxhash64 of the text; identifiers may be null."""
+    few = dropped.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    gone = dropped.select(F.col("doc").alias("__gone"), F.col("mark").alias("__mark"))
+    gone = F.broadcast(gone) if few else gone
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__mark"]), "left_anti")

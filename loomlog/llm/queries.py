@@ -32,6 +32,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), limit=512).withColumnRenamed("doc", "doc_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.language_id import from_documents, identify
+
+    return identify(from_documents(documents(spark, sf_dir))).drop("mark").withColumnRenamed("doc", "doc_id")
+
+
+def op3_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over web pages, with the markup's language, address suffixes and hosts."""
+    from loomlog.llm.language_id import from_pages, identify
+
+    return identify(from_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))).drop("mark").withColumnRenamed("doc", "page_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.mixing import mix_documents
 
@@ -89,6 +102,8 @@ from n
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
+    "op3_language_id": op3_language_id,
+    "op3_language_id_pages": op3_language_id_pages,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op9_sharding": op9_sharding,
