@@ -78,6 +78,12 @@ from g
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.lm_scoring import score_documents
+
+    return score_documents(documents(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.sharding import balanced_shards
 
@@ -106,6 +112,7 @@ QUERIES = {
     "op3_language_id_pages": op3_language_id_pages,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
