@@ -98,15 +98,15 @@ def table(schema: T.StructType, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
 
 
-def salted_totals(rows: DataFrame, key: str, spread: str, measures: dict, salts: int = 64) -> DataFrame:
-    """Totals of ``measures`` (column -> sum expression) per key, one row for each (key, salt) that occurs.
+def salted_totals(rows: DataFrame, key: str, spread: str, measures: dict, salts: int = 64, how=F.sum) -> DataFrame:
+    """Totals of ``measures`` (name -> expression, summed or as ``how`` says) per key, one row for each (key, salt) that occurs.
 
     ``rows`` may be joined with the result on (key, salt) without a task receiving a whole hot key. Keys may be null.
     ``spread`` is a column that differs between the rows of a key.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    counts = salted.groupBy(key, "salt").agg(*[F.sum(e).alias(n) for n, e in measures.items()])
-    totals = counts.groupBy(key).agg(*[F.sum(n).alias(n) for n in measures], F.collect_set("salt").alias("salts"))
+    counts = salted.groupBy(key, "salt").agg(*[how(e).alias(n) for n, e in measures.items()])
+    totals = counts.groupBy(key).agg(*[how(n).alias(n) for n in measures], F.collect_set("salt").alias("salts"))
     return totals.select(F.col(key).alias("total_key"), *measures, F.explode("salts").alias("total_salt"))
 
 

@@ -51,6 +51,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(documents(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.ngram_join import jaccard_components
+
+    out = jaccard_components(documents(spark, sf_dir))
+    return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.quality_rules import quality_rules
 
@@ -111,6 +118,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op3_language_id_pages": op3_language_id_pages,
     "op4_mixing": op4_mixing,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_scoring": op7_lm_scoring,
     "op9_sharding": op9_sharding,
