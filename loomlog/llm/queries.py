@@ -91,6 +91,12 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomlog.llm.pii import find_pii
+
+    return find_pii(documents(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.sharding import balanced_shards
 
@@ -121,6 +127,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
