@@ -131,6 +131,13 @@ def quotas(cells: list[tuple[str | None, int, int]], weights=WEIGHTS, most: int
 
 
 _QUOTA = "cell_source string, cell_shard long, source_size long, target double, words long, blocks long, passes long, first long, last long"
+#: Cells that are broadcast at most (about 100 bytes each); beyond, they are joined by a shuffle.
+BROADCAST_CELLS = 100_000
+
+
+def _source_key(column: str):
+    """The source as a key that is never null, so that window and join share one partitioning."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(column)), F.lit("n"))
 
 
 def mix(sized: DataFrame, weights=WEIGHTS, max_repeat: int = 3, block_words: int = BLOCK_WORDS, seed: int = 17, sums_of: DataFrame | None = None) -> DataFrame:
@@ -143,18 +150,21 @@ def mix(sized: DataFrame, weights=WEIGHTS, max_repeat: int = 3, block_words: int
     shards = max(1, min(MAX_SHARDS, -(-sums_of.count() // SHARD_DOCS)))
     shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc")), F.lit(shards))
     sums = sums_of.groupBy("source", shard.alias("shard")).agg(F.sum("size").alias("words")).collect()
-    plan = spark.createDataFrame(quotas([tuple(r) for r in sums], weights, max_repeat, block_words, seed), _QUOTA)
+    rows = quotas([tuple(r) for r in sums], weights, max_repeat, block_words, seed)
+    plan = spark.createDataFrame(rows, _QUOTA)
+    plan = plan.withColumns({"cell": _source_key("cell_source"), "shard": F.col("cell_shard")}).drop("cell_source", "cell_shard")
+    plan = F.broadcast(plan) if len(rows) <= BROADCAST_CELLS else plan
 
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc"), "doc", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("shard", shard).withColumn("a", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    each = placed.join(plan, F.col("source").eqNullSafe(F.col("cell_source")) & (F.col("shard") == F.col("cell_shard")))
+    order = Window.partitionBy("cell", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc"), "doc", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumns({"cell": _source_key("source"), "shard": shard})
+    each = placed.withColumn("a", F.coalesce(F.sum("size").over(order), F.lit(0))).join(plan, ["cell", "shard"])
 
     start = lambda block: F.expr(f"if(blocks = 0, 0, ({block}) * words div blocks)")
     each = each.withColumns({"lo1": start("first"), "hi1": start("least(last, blocks)"), "hi2": start("greatest(last - blocks, 0)")})
     within = lambda x: F.least(F.greatest(F.col(x) - F.col("a"), F.lit(0)), F.col("size"))
     each = each.withColumns({"cut1_from": within("lo1"), "cut1_to": within("hi1"), "cut2_from": F.lit(0).cast("long"), "cut2_to": within("hi2")})
     taken = F.col("passes") * F.col("size") + F.col("cut1_to") - F.col("cut1_from") + F.col("cut2_to")
-    return each.withColumn("taken", taken).drop("cell_source", "cell_shard", "words", "blocks", "first", "last", "lo1", "hi1", "hi2", "a", "shard")
+    return each.withColumn("taken", taken).drop("cell", "shard", "words", "blocks", "first", "last", "lo1", "hi1", "hi2", "a")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
