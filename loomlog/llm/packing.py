@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,14 +27,24 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from loomlog.llm.common import pick, prepare, utf8
+from loomlog.llm.common import WORD_BREAKS, lowered, pick, prepare, utf8
+from loomlog.llm.token_counts import byte_alphabet
 
 #: Penalties, in tokens of padding, of cutting a document at a sentence end or inside a sentence.
 SENTENCE_CUT, HARD_CUT = 8, 128
 #: Inside sentences longer than a quarter window cuts are allowed every so many tokens.
 HARD_STEP = 256
+#: Texts encoded at a time.
+GROUP = 512
 #: Tokens of a segment, words whose ids are remembered by a worker, bytes of a text cut into words at a time.
-SEGMENT, MEMORY, PIECE = 1 << 20, 300_000, 4 << 20
+SEGMENT, MEMORY, PIECE = 1 << 20, 600_000, 1 << 20
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(WORD_BREAKS.encode())] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[97:123] = True
+
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 SCHEMA = "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -46,10 +57,14 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
+        # Lower-case Latin-1 letters are one pre-token that no normaliser changes: such words need the model alone.
+        self.model = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+        self.letters = dict(enumerate(byte_alphabet()))
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
         self.stops = np.zeros(max(vocab.values()) + 3, dtype=bool)
         for token, i in vocab.items():
             # A word that ends in . ! or ? (perhaps quoted) ends a sentence.
@@ -57,38 +72,70 @@ class WordEncoder:
                 self.stops[i] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        out = []
+        """Little-endian unsigned 32-bit ids of each text; new words are encoded a few MB of text at a time."""
+        out, group, size = [], [], 0
         for text in texts:
-            parts, at = [], 0
-            while at < len(text):
-                to = len(text)
-                if to - at > PIECE:
-                    seam = text.rfind(b" ", at + 1, at + PIECE)
-                    seam = seam if seam > 0 else text.find(b" ", at + PIECE)
-                    to = seam if seam > 0 else to
-                parts.append(self._words(text[at:to].split()))
-                at = to
-            out.append(b"".join(parts))
-        return out
-
-    def _words(self, words: list[bytes]) -> bytes:
+            if len(text) > PIECE:
+                out += self._group(group) + [b"".join(self._group([piece])[0] for piece in pieces(text))]
+                group, size = [], 0
+                continue
+            group.append(text)
+            size += len(text)
+            if size > PIECE:
+                out += self._group(group)
+                group, size = [], 0
+        return out + self._group(group)
+
+    def _group(self, texts: list[bytes]) -> list[bytes]:
+        split = [t.split() for t in texts]
+        if len(self.known) > MEMORY:  # the older half is kept aside; what is met again comes back
+            self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        if len(known) > MEMORY:  # the older half is kept aside; what is met again comes back
-            self.older, self.known = known, {}
-            known, older = self.known, self.older
-        new = []
-        for w in set(words):
-            if w not in known:
-                if (ids := older.get(w)) is not None:
-                    known[w] = ids
-                else:
-                    new.append(w)
+        new = set().union(*split).difference(known)
+        again = new.intersection(older) if older else ()
+        known.update((w, older[w]) for w in again)
+        new = list(new.difference(again))
         for a in range(0, len(new), 10_000):
-            some = new[a : a + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                known[w] = array("I", e.ids).tobytes()
-        return b"".join(map(known.__getitem__, words))
+            texts = [w.decode("utf-8") for w in new[a : a + 10_000]]
+            plain = [t for t in texts if _PLAIN.fullmatch(t)]
+            other = [t for t in texts if not _PLAIN.fullmatch(t)]
+            shown = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in plain]
+            for some, tokenizer, own in ((plain, self.model, shown), (other, self.tokenizer, other)):
+                for t, e in zip(some, tokenizer.encode_batch_fast(own, add_special_tokens=False)):
+                    known[t.encode()] = array("I", e.ids).tobytes()
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """Parts of a long text, cut at spaces."""
+    at = 0
+    while len(text) - at > PIECE:
+        seam = text.rfind(b" ", at + 1, at + PIECE)
+        seam = seam if seam > 0 else text.find(b" ", at + PIECE)
+        if seam < 0:
+            break
+        yield text[at:seam]
+        at = seam
+    yield text[at:]
+
+
+def simplified(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with fewer different words and the same ids: lower case (the tokenizer lowers anyway), and a full stop or
+    comma between an ASCII letter and white space, a pre-token of its own in any case, becomes a word of its own.
+
+    Texts with the beginning of a special string are left alone, as those are matched before lower-casing.
+    """
+    if raw.tobytes().find(b"<|") >= 0:
+        return raw, at
+    low = lowered(raw)
+    follows = np.ones(len(low) + 1, dtype=bool)
+    follows[:-1] = _SPACE[low]
+    follows[at] = True
+    mark = (low == 46) | (low == 44)
+    mark[0:1] = False
+    where = np.flatnonzero(mark[1:] & _LETTER[low[:-1]] & follows[2:]) + 1
+    where = where[~np.isin(where, at, assume_unique=False)] if len(where) else where
+    return np.insert(low, where, 32), at + np.searchsorted(where, at)
 
 
 def cut_windows(pos: np.ndarray, penalty: np.ndarray, length: int) -> tuple[list[float], list[int]]:
@@ -190,6 +237,13 @@ class Packer:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's own encoder. A function of the module, as a task's closure would bring a new, empty dictionary."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _pack(path: str, length: int, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -198,14 +252,16 @@ def _pack(path: str, length: int, end_id: int):
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in range(7)], names=names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
+        encoder = encoder_of(path)
         packer = Packer(length, encoder.stops, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            raw, at = utf8(batch.column(1))
+            raw, at = simplified(*utf8(batch.column(1)))
             data, at = raw.tobytes(), at.tolist()
-            for identifier, a, b in zip(batch.column(0).to_pylist(), at, at[1:]):
-                if rows := packer.add(identifier, encoder.encode([data[a:b]])[0] + end):
-                    yield batch_of(rows)
+            for lo in range(0, batch.num_rows, GROUP):
+                texts = [data[a:b] for a, b in zip(at[lo : lo + GROUP], at[lo + 1 : lo + GROUP + 1])]
+                for identifier, ids in zip(batch.column(0)[lo : lo + GROUP].to_pylist(), encoder.encode(texts)):
+                    if rows := packer.add(identifier, ids + end):
+                        yield batch_of(rows)
         if rows := packer.solve(True):
             yield batch_of(rows)
 

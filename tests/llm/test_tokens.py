@@ -3,11 +3,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from loomlog.llm import packing, token_counts
+from loomlog.llm.common import utf8
 
 POOL = ["a", "aaaa", "the ", "ing", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "　", "é", "é", "ß", "漢字", "😀", "123", "4", "'s", "'re", "’", "<|endoftext|>", "<|", "$$", "...", "!!", "\r\n", "​", "हि", "\x00", "Σ", "İ", " ̈", "word. ", "Next one! "]
 SCHEMA = "doc_id long, text string, n_tokens int, length string, doc string"
@@ -82,6 +84,18 @@ def test_every_id_lies_in_one_piece(spark, monkeypatch, segment):
     assert sum(128 - n for n in used if n & (n - 1)) < 0.1 * sum(used)
 
 
+def test_simplified_texts_have_the_same_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rnd = Tokenizer.from_file(path), random.Random(11)
+    pool = ["a", "B.", ".", ",", ", ", ". ", " ", "\n", "é.", "1,", "x..", "'s,", "Word, ", "İ", "..."]
+    plain = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(5000)]
+    raw, at = packing.simplified(*utf8(pa.array(plain)))
+    data = raw.tobytes()
+    encoder = packing.WordEncoder(path)
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([data[a:b] for a, b in zip(at.tolist(), at.tolist()[1:])])]
+    assert got == [e.ids for e in library.encode_batch(plain, add_special_tokens=False)]
+
+
 def test_pack_query(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
