@@ -188,9 +188,16 @@ class TokenCounter:
 _counters: dict[str, TokenCounter] = {}
 
 
+def counter_of(path: str) -> TokenCounter:
+    """The worker's own counter. A function of the module, as a task's closure would bring a new, empty dictionary."""
+    if path not in _counters:
+        _counters[path] = TokenCounter(path)
+    return _counters[path]
+
+
 def _count(path: str, limit: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counters.get(path) or _counters.setdefault(path, TokenCounter(path))
+        counter = counter_of(path)
         for batch in batches:
             texts = batch.column(1).fill_null("")
             n = counter.count(texts.to_pylist())
