@@ -45,8 +45,8 @@ def test_stages(spark):
     first = {}
     for r in kept.collect():
         t = lower(r["text"])
-        first[t] = min(first.get(t, (10**9,)), ((10**9 if r["doc_id"] is None else r["doc_id"]), *r[1:3]), key=lambda x: x[0])
-    assert sorted(((r["doc_id"] if r["doc_id"] is not None else 10**9), lower(r["text"])) for r in once.collect()) == sorted((v[0], t) for t, v in first.items())
+        first[t] = max(first.get(t, (-2,)), (-1 if r["doc_id"] is None else r["doc_id"],))
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], lower(r["text"])) for r in once.collect()) == sorted((v[0], t) for t, v in first.items())
 
     near = pipeline.ngram_join(spark, once, "")
     left = [(r["doc_id"], r["text"]) for r in once.collect()]
