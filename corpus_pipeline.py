@@ -32,9 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal after lower-casing A-Z, the one with the smallest doc_id stays."""
+    """Of documents that are equal after lower-casing A-Z, the one with the largest doc_id stays, as in op10."""
     docs = pick(docs, **COLUMNS)
-    found = exact_duplicates(docs, keep="smallest").select(F.col("doc").alias("doc_id"), "kept", "sha")
+    found = exact_duplicates(docs, keep="largest").select(F.col("doc").alias("doc_id"), "kept", "sha")
     by_id = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.count("*").alias("rows"))
     rest = by_identifier(docs, by_id.where("not any and doc_id is not null").select("doc_id"), "doc_id", "left_anti")
     # An identifier that several rows share, or none: the text tells which row stays.
