@@ -43,9 +43,9 @@ def logical_chunks(messages: DataFrame, order: str, size: str, target: int, bloc
     The running sum over the whole table is made of sums of ranges of the order key and sums inside each range, so no
     task orders everything.
     """
-    bounds = messages.agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-    place = F.expr(f"cast(least(({order} - lo) * {blocks}D / (hi - lo + 1), {blocks - 1}) as int)")
-    rows = messages.crossJoin(F.broadcast(bounds)).withColumn("block", place).drop("lo", "hi")
+    low, high = messages.agg(F.min(order), F.max(order)).first()
+    low, high = (0, 0) if low is None else (int(low), int(high))
+    rows = messages.withColumn("block", F.expr(f"cast(({order} - {low}L) div {max(1, -(-(high - low + 1) // blocks))}L as int)"))
     sums = rows.groupBy("block").agg(F.sum(F.col(size) + OVERHEAD).alias("s"))
     prior = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("block", F.coalesce(F.sum("s").over(prior), F.lit(0)).alias("base"))
