@@ -27,7 +27,7 @@ from loomlog.llm.common import durable, pick, prepare
 #: Rounds of propagation, share that a shard may exceed its even size by meanwhile.
 ROUNDS, SLACK = 4, 0.02
 #: Documents of an anchor on average where a key has more; parts that a key's rows are counted in.
-ANCHOR_ROWS, SALTS = 4096, 64
+ANCHOR_ROWS, SALTS = 512, 64
 #: Rows of a bucket of ranks on average, and the most buckets of a label.
 BUCKET_ROWS, MAX_BUCKETS = 512, 4096
 
