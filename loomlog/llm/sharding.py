@@ -91,7 +91,7 @@ def ranked(rows: DataFrame, shards: int) -> DataFrame:
     """Adds shard and slot to rows with label, anchor, node and doc; counts are at most one apart."""
     n = rows.count()
     wanted = max(1, min(MAX_BUCKETS, n // (shards * BUCKET_ROWS)))
-    rows = rows.withColumn("place", F.coalesce(F.xxhash64("anchor"), F.xxhash64("node"))).withColumn("bucket", F.pmod(F.shiftright("place", 20), F.lit(wanted)))
+    rows = rows.withColumn("place", F.xxhash64(F.coalesce("anchor", "node"))).withColumn("bucket", F.pmod(F.shiftright("place", 20), F.lit(wanted)))
     counts = rows.groupBy("label", "bucket").agg(F.count("*").alias("c"))
     before = {r["label"]: r["c"] for r in counts.groupBy("label").agg(F.sum("c").alias("c")).collect()}
     first = F.array(*[F.lit(sum(before.get(a, 0) for a in range(b))).cast("long") for b in range(shards)])
