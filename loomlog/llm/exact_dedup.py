@@ -35,8 +35,8 @@ MEMTABLE_ROWS, MEMTABLE_BYTES = 200_000, 64 << 20
 INDEX_ROWS, FANOUT = 50_000, 8
 #: Member lists of one digest go to so many tasks.
 SALTS = 64
-#: Identifiers of hits are broadcast up to this many (16 bytes each), joined by a shuffle beyond.
-BROADCAST_IDS = 2_000_000
+#: Identifiers of hits are broadcast up to this many (about 160 bytes each), joined by a shuffle beyond.
+BROADCAST_IDS = 200_000
 
 _RUN = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("run", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sha", T.BinaryType()), T.StructField("members", T.ArrayType(T.LongType()))])
 _LAST = np.iinfo(np.int64).max
@@ -251,12 +251,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # Byte verification of hits between runs; each entry is represented by its smallest identifier.
     back = F.bitwise_not("key") if largest else F.col("key")
     hits = runs.join(index.where("entries > 1").select("digest"), "digest", "left_semi")
-    hits = durable(hits.select("digest", "run", F.when(F.col("key") != _LAST, back).alias("doc"), F.hex("sha").alias("sha")))
+    hits = durable(hits.select("run", F.when(F.col("key") != _LAST, back).alias("doc"), F.col("sha").alias("own")))
     if not hits.isEmpty():
-        sha = F.upper(F.sha2(F.coalesce(_lower("text"), F.lit("")), 256))
-        texts = by_identifier(rows, hits.where("doc is not null").withColumnRenamed("sha", "own"), "doc", "inner").where(sha == F.col("own")).select("digest", "run", "text")
+        sha = F.unhex(F.sha2(F.coalesce(_lower("text"), F.lit("")), 256))
+        texts = by_identifier(rows, hits.where("doc is not null"), "doc", "inner").where(sha == F.col("own")).select("own", "run", "text")
         if not (nameless := hits.where("doc is null")).isEmpty():
-            texts = texts.unionByName(rows.where("doc is null").withColumn("sha", sha).join(nameless.drop("doc"), "sha").select("digest", "run", "text"))
+            texts = texts.unionByName(rows.where("doc is null").withColumn("own", sha).join(nameless.drop("doc"), "own").select("own", "run", "text"))
+        texts = texts.withColumn("digest", F.substring("own", 1, digest_bytes))
         texts = texts.mapInArrow(_normal, "digest binary, run long, text binary")
         variants = durable(texts.repartition("digest").sortWithinPartitions("digest", "run").mapInArrow(_compare, "digest binary, run long, variant long").distinct())
         if not variants.isEmpty():
