@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +22,36 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Bytes of an Arrow batch: what workers and executors hold beside their own structures follows from it.
+BATCH_BYTES = 4 << 20
+
+
 def prepare(spark: SparkSession) -> None:
     """Ship the package to the workers, bound Arrow batches by bytes and find the checkpoint folder."""
     ship(spark)
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def _release() -> None:
+    """Hand free memory back, as workers live on between tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def tidy(run):
+    """The same function over batches, which releases free memory at the end of a task."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _release()
+
+    return tidied
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +78,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a partition that a small intermediate table is read in.
+SETTLED_ROWS = 20_000
+
+
+def settled(df: DataFrame) -> tuple[DataFrame, int]:
+    """A checkpoint and its number of rows; many almost empty partitions are read as few."""
+    df = durable(df)
+    n = df.count()
+    return df.coalesce(max(1, -(-n // SETTLED_ROWS))), n
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n+1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -71,6 +110,18 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
+def per_row(marks: np.ndarray, at: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    """How many marks each row has; the running sum is kept for a slice at a time."""
+    before, done = np.zeros(len(at), np.int64), 0
+    for s in range(0, len(marks), step):
+        sums = np.append(0, np.cumsum(marks[s : s + step], dtype=np.int32))
+        lo, hi = np.searchsorted(at, s), np.searchsorted(at, s + step)
+        before[lo:hi] = done + sums[np.minimum(at[lo:hi] - s, len(sums) - 1)]
+        done += int(sums[-1])
+    before[np.searchsorted(at, max(len(marks), 1)) :] = done
+    return np.diff(before)
+
+
 def words_of(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (byte positions) of all words, and the n+1 positions of the rows among them."""
     inside = np.zeros(len(raw) + 2, dtype=bool)
@@ -89,6 +140,17 @@ def words_of(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, rows
 
 
+def word_counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Words of each row: bytes of words that begin a row or follow a byte that isn't one."""
+    inside = _IS_WORD[raw]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = at[1:-1]
+    edges = edges[edges < len(raw)]
+    first[edges] = inside[edges]
+    return per_row(first, at)
+
+
 def table(schema: T.StructType, **columns) -> pa.RecordBatch:
     """A record batch with the columns in the order of the Spark schema."""
     from pyspark.sql.pandas.types import to_arrow_schema

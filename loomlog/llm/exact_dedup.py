@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlog.llm.common import durable, lowered, pick, prepare, utf8
+from loomlog.llm.common import durable, lowered, pick, prepare, tidy, utf8
 
 #: Limits of a memtable in the scan: entries (rows) and bytes of text kept for verification.
 MEMTABLE_ROWS, MEMTABLE_BYTES = 200_000, 64 << 20
@@ -228,7 +228,7 @@ def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _index(runs: DataFrame) -> DataFrame:
-    return runs.select("digest", "key", "run", "n").repartition("digest").mapInArrow(_compact, "digest binary, key long, run long, total long, entries long")
+    return runs.select("digest", "key", "run", "n").repartition("digest").mapInArrow(tidy(_compact), "digest binary, key long, run long, total long, entries long")
 
 
 def by_identifier(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
@@ -245,7 +245,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prepare(docs.sparkSession)
     largest = {"smallest": False, "largest": True}[keep]
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    runs = durable(rows.mapInArrow(_build(digest_bytes, largest), _RUN))
+    runs = durable(rows.mapInArrow(tidy(_build(digest_bytes, largest)), _RUN))
     index = durable(_index(runs))
 
     # Byte verification of hits between runs; each entry is represented by its smallest identifier.
@@ -258,7 +258,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if not (nameless := hits.where("doc is null")).isEmpty():
             texts = texts.unionByName(rows.where("doc is null").withColumn("own", sha).join(nameless.drop("doc"), "own").select("own", "run", "text"))
         texts = texts.withColumn("digest", F.substring("own", 1, digest_bytes))
-        texts = texts.mapInArrow(_normal, "digest binary, run long, text binary")
+        texts = texts.mapInArrow(tidy(_normal), "digest binary, run long, text binary")
         variants = durable(texts.repartition("digest").sortWithinPartitions("digest", "run").mapInArrow(_compare, "digest binary, run long, variant long").distinct())
         if not variants.isEmpty():
             variant = F.coalesce(F.col("variant"), F.lit(0)).cast("string").cast("binary")

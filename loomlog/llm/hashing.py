@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at a time.
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: An odd multiplier, its inverse modulo 2^64, and the constants of the finalizer.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable, lowered, pick, prepare, salted_totals, utf8
+from loomlog.llm.common import durable, lowered, per_row, pick, prepare, salted_totals, tidy, utf8
 
 TRAIN_ROWS, MAX_LANGUAGES = 4000, 64
 #: Cells of the hashed trigram model; bytes scored at a time.
-CELLS, SLICE = 1 << 16, 4 << 20
+CELLS, SLICE = 1 << 16, 1 << 19
 #: Weights: trigrams that a text counts as at most, pseudo-rows of the host's and suffix's parents, and of tables.
 TEXT_STRENGTH, HOST_ROWS, SUFFIX_ROWS, PSEUDO = 60.0, 5.0, 20.0, 0.5
 UNIFORM = -float(np.log(CELLS))
@@ -99,7 +99,7 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
     each = max(1, labelled.count() // train_rows)
     sample = labelled.where(F.pmod(F.xxhash64(F.lit(3), "doc", "host"), F.lit(each)) == 0).limit(4 * train_rows).select("declared", "text")
     schema = "lang string, n long, cells binary"
-    sums = sample.mapInArrow(_train, schema).repartition(8, "lang").mapInArrow(_add, schema)
+    sums = sample.mapInArrow(tidy(_train), schema).repartition(8, "lang").mapInArrow(_add, schema)
     # A code on hardly any row is a slip rather than a language.
     got = sums.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
     total = sum(r["n"] for r in got)
@@ -124,7 +124,7 @@ def _score(model):
             best = mean.argmax(axis=0) if len(table) else np.zeros(batch.num_rows, int)
             known = (n > 0) & (np.minimum(n, TEXT_STRENGTH) * (UNIFORM - mean.max(axis=0)) < UND_MARGIN) if len(table) else np.zeros(batch.num_rows, bool)
             # Letters without a trigram: no evidence of the text, the others decide.
-            blank = (n == 0) & (np.diff(np.append(0, np.cumsum(_LETTER[lowered(raw)]))[at]) > 0)
+            blank = (n == 0) & (per_row(_LETTER[raw | 32], at) > 0)
             text = pa.array(np.where(known, best, -1), type=pa.int32(), mask=blank)
             weighed = (mean * np.minimum(n, TEXT_STRENGTH)).T
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "mark", "declared", "suffix", "host")), text, pa.array(list(weighed), type=pa.list_(pa.float64()))], names=["doc", "mark", "declared", "suffix", "host", "text_lang", "ll"])
@@ -155,7 +155,7 @@ def identify(evidence: DataFrame, least: float = 0.5) -> DataFrame:
     model = spark.sparkContext.broadcast(table)
     rows = evidence.withColumn("mark", F.xxhash64("text"))
     schema = "doc long, mark long, declared string, suffix string, host string, text_lang int, ll array<double>"
-    scored = durable(rows.mapInArrow(_score(model), schema))
+    scored = durable(rows.mapInArrow(tidy(_score(model)), schema))
     size = len(langs)
     if not size:
         return scored.select("doc", "mark", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"), F.lit("und").alias("text_lang"), "declared", F.lit(False).alias("kept"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable, lowered, pick, prepare, utf8, words_of
+from loomlog.llm.common import durable, lowered, pick, prepare, tidy, utf8, words_of
 from loomlog.llm.hashing import range_hashes
 
 #: Sizes of the model, all fixed: words that are symbols, endings, classes, counts that are broadcast.
@@ -36,7 +36,7 @@ HEAD, GROUPS, CLASSES, LOOKUP = 768, 128, 48, 1 << 18
 #: Rounds of the exchange, and the weight of the class unigram in a transition.
 ROUNDS, BACKOFF = 8, 20.0
 #: Words whose counts a task holds before it folds them, bytes of text taken at a time.
-FOLD, PIECE = 4_000_000, 8 << 20
+FOLD, PIECE = 2_000_000, 2 << 20
 
 _END = HEAD + GROUPS
 SYMBOLS = _END + 1
@@ -256,7 +256,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     prepare(spark)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    counted = rows.mapInArrow(_count, "word long, ending int, c long")
+    counted = rows.mapInArrow(tidy(_count), "word long, ending int, c long")
     vocabulary = durable(counted.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("c").alias("c")))
     texts = rows.groupBy((F.pmod(F.crc32(F.coalesce(F.col("doc").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2).alias("h")).count().collect()
     trained = sum(r["count"] for r in texts if not r["h"])
@@ -272,7 +272,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     np.subtract.at(in_rest, ending[:HEAD], c[:HEAD])
     np.subtract.at(kinds, ending[:HEAD], 1)
 
-    pairs = rows.mapInArrow(_bigrams(head, ids), "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
+    pairs = rows.mapInArrow(tidy(_bigrams(head, ids)), "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
     counts = np.zeros(SYMBOLS * SYMBOLS)
     counts[pairs.column("pair").to_numpy()] = pairs.column("c").to_numpy()
     counts = counts.reshape(SYMBOLS, SYMBOLS)
@@ -288,7 +288,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         }
     )
     schema = "row long, doc long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>"
-    scored = durable(rows.mapInArrow(_score(model), schema))
+    scored = durable(rows.mapInArrow(tidy(_score(model)), schema))
     rare = scored.select("row", F.explode("rare").alias("word")).join(vocabulary, "word").groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("known"))
     out = scored.drop("rare").join(rare, "row", "left")
     more = F.coalesce("more", F.lit(0.0))

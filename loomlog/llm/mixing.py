@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlog.llm.common import pick, prepare, utf8, words_of
+from loomlog.llm.common import pick, prepare, tidy, utf8, word_counts, words_of
 
 #: Documents of a shard on average, and the most shards.
 SHARD_DOCS, MAX_SHARDS = 1000, 4096
@@ -86,8 +86,7 @@ def _sizes(schema: T.StructType):
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, rows = words_of(*utf8(batch.column("text")))
-            columns = [pa.array(np.diff(rows), type=pa.int64()) if n == "size" else batch.column(n) for n in names]
+            columns = [pa.array(word_counts(*utf8(batch.column("text"))), type=pa.int64()) if n == "size" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return sizes
@@ -96,7 +95,7 @@ def _sizes(schema: T.StructType):
 def with_sizes(docs: DataFrame, carried: list[str]) -> DataFrame:
     """doc, source, size and the carried columns; ``docs`` has doc, source, text."""
     schema = T.StructType([f for f in docs.schema if f.name in ("doc", "source", *carried)] + [T.StructField("size", T.LongType())])
-    return docs.mapInArrow(_sizes(schema), schema)
+    return docs.mapInArrow(tidy(_sizes(schema)), schema)
 
 
 def quotas(cells: list[tuple[str | None, int, int]], weights=WEIGHTS, most: int = 3, block_words: int = BLOCK_WORDS, seed: int = 0) -> list[tuple]:

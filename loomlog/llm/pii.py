@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable, pick, prepare, utf8
+from loomlog.llm.common import durable, per_row, pick, prepare, tidy, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 #: Posterior from which a loose candidate is taken, and rounds of EM and of the classifier.
@@ -159,7 +159,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # "dot" alone can begin a loose address; other texts without digits and @ have nothing to find.
         low = raw | 32
         mark[:-2] |= (low[:-2] == 100) & (low[1:-1] == 111) & (low[2:] == 116) if len(raw) > 2 else False
-        some = np.diff(np.append(0, np.cumsum(mark))[at]) > 0
+        some = per_row(mark, at) > 0
         data, at = raw.tobytes(), at.tolist()
         base, counts, spans = [], [], []
         for i in range(batch.num_rows):
@@ -247,7 +247,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     """One row per input row: doc, n (base spans by kind), base_sha256, and spans: base and accepted ones."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    found = durable(rows.mapInArrow(_scan, _SCAN))
+    found = durable(rows.mapInArrow(tidy(_scan), _SCAN))
     each = found.select(F.explode("spans").alias("s"))
     patterns = each.groupBy("s.kind", "s.code", "s.feature").count().collect()
     codes, _ = accepted([(r["kind"], r["code"], r["feature"], r["count"]) for r in patterns], take)

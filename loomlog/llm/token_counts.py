@@ -22,7 +22,7 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
-from loomlog.llm.common import pick, prepare
+from loomlog.llm.common import pick, prepare, tidy
 
 #: Pre-tokens whose counts are remembered by a worker, symbols merged at a time, and characters cut at a time.
 MEMORY, SYMBOLS, PIECE = 400_000, 400_000, 1 << 20
@@ -211,4 +211,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """One row per input row: doc, n_bytes, n_tokens, over_limit. An empty table gives no rows."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    return rows.mapInArrow(_count(tokenizer_path, limit), "doc long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(tidy(_count(tokenizer_path, limit)), "doc long, n_bytes long, n_tokens long, over_limit boolean")
