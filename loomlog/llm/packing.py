@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from loomlog.llm.common import WORD_BREAKS, lowered, pick, prepare, utf8
+from loomlog.llm.common import lowered, pick, prepare, tidy, utf8
 from loomlog.llm.token_counts import byte_alphabet
 
 #: Penalties, in tokens of padding, of cutting a document at a sentence end or inside a sentence.
@@ -36,23 +36,51 @@ SENTENCE_CUT, HARD_CUT = 8, 128
 HARD_STEP = 256
 #: Texts encoded at a time.
 GROUP = 512
-#: Tokens of a segment, words whose ids are remembered by a worker, bytes of a text cut into words at a time.
-SEGMENT, MEMORY, PIECE = 1 << 20, 600_000, 1 << 20
+#: Tokens of a segment, words whose ids a worker remembers (twice that many, some 150 bytes each), bytes of a text cut
+#: into words at a time.
+SEGMENT, MEMORY, PIECE = 1 << 20, 1_000_000, 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[list(WORD_BREAKS.encode())] = True
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[97:123] = True
-
-_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
 
 SCHEMA = "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class LetterEncoder:
+    """Byte-pair merging of words of lower-case Latin-1 letters by the ranks of the vocabulary.
+
+    The last byte of a word is a symbol of its own there, so it gets a code of its own: 91 bytes occur in such words,
+    182 codes fit a byte. Merging the adjacent symbols whose join has the lowest id gives the merges' result.
+    """
+
+    _BYTES = (*range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0))
+
+    def __init__(self, vocab: dict[str, int]):
+        import tiktoken
+
+        names = {c: i for i, c in enumerate(byte_alphabet())}
+        inner = {b: i for i, b in enumerate(self._BYTES)}
+        last = {b: i + len(self._BYTES) for i, b in enumerate(self._BYTES)}
+        ranks: dict[bytes, int] = {}
+        for token, i in vocab.items():
+            core = token.removesuffix("</w>")
+            raw = [names.get(c, -1) for c in core]
+            if raw and all(b in inner for b in raw):
+                ranks[bytes([*(inner[b] for b in raw[:-1]), (inner if core == token else last)[raw[-1]]])] = i
+        for code in range(256):  # the library wants all single bytes
+            ranks.setdefault(bytes([code]), max(vocab.values()) + 1 + code)
+        self.piece = tiktoken.Encoding("letters", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.inner = bytes(inner.get(b, 0) for b in range(256))
+        self.last = {b: bytes([c]) for b, c in last.items()}
+
+    def encode(self, word: bytes) -> bytes:
+        return array("I", self.piece(word[:-1].translate(self.inner) + self.last[word[-1]])).tobytes()
+
+
 class WordEncoder:
     """Ids of texts for a tokenizer that drops white space: words are encoded once and remembered as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
+        self.memory = memory
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -60,9 +88,8 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
-        # Lower-case Latin-1 letters are one pre-token that no normaliser changes: such words need the model alone.
-        self.model = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
-        self.letters = dict(enumerate(byte_alphabet()))
+        self.letters = LetterEncoder(vocab)
+        self.marks = {t: array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in ".,"}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.stops = np.zeros(max(vocab.values()) + 3, dtype=bool)
@@ -88,22 +115,51 @@ class WordEncoder:
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        if len(self.known) > MEMORY:  # the older half is kept aside; what is met again comes back
+        if len(self.known) > self.memory:  # the older half is kept aside; what is met again comes back
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        new = set().union(*split).difference(known)
+        out, late, new = [], [], set()
+        for k, words in enumerate(split):
+            found = list(map(known.get, words))
+            if None in found:
+                missing = [i for i, ids in enumerate(found) if ids is None]
+                new.update([words[i] for i in missing])
+                late.append((k, found, missing))
+                out.append(b"")
+            else:
+                out.append(b"".join(found))
         again = new.intersection(older) if older else ()
         known.update((w, older[w]) for w in again)
         new = list(new.difference(again))
         for a in range(0, len(new), 10_000):
-            texts = [w.decode("utf-8") for w in new[a : a + 10_000]]
-            plain = [t for t in texts if _PLAIN.fullmatch(t)]
-            other = [t for t in texts if not _PLAIN.fullmatch(t)]
-            shown = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in plain]
-            for some, tokenizer, own in ((plain, self.model, shown), (other, self.tokenizer, other)):
-                for t, e in zip(some, tokenizer.encode_batch_fast(own, add_special_tokens=False)):
-                    known[t.encode()] = array("I", e.ids).tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            self._learn([w.decode("utf-8") for w in new[a : a + 10_000]])
+        for k, found, missing in late:
+            words = split[k]
+            for i in missing:
+                found[i] = known[words[i]]
+            out[k] = b"".join(found)
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. Lower-case Latin-1 letters, and a full stop or comma after them, are pre-tokens of their
+        own that no normaliser changes."""
+        known = self.known
+        plain, other, stopped = set(), [], []
+        for t in words:
+            if m := _PLAIN.fullmatch(t):
+                core, stop = m.groups()
+                if stop:
+                    stopped.append((t, core, stop))
+                if (raw := core.encode()) not in known:
+                    plain.add(raw)
+            else:
+                other.append(t)
+        for t in plain:
+            known[t] = self.letters.encode(t)
+        for t, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            known[t.encode()] = array("I", e.ids).tobytes()
+        for t, core, stop in stopped:
+            known[t.encode()] = known[core.encode()] + self.marks[stop]
 
 
 def pieces(text: bytes) -> Iterator[bytes]:
@@ -119,23 +175,12 @@ def pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def simplified(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts with fewer different words and the same ids: lower case (the tokenizer lowers anyway), and a full stop or
-    comma between an ASCII letter and white space, a pre-token of its own in any case, becomes a word of its own.
+def simplified(raw: np.ndarray) -> np.ndarray:
+    """Texts with fewer different words and the same ids: lower case, as the tokenizer lowers anyway.
 
     Texts with the beginning of a special string are left alone, as those are matched before lower-casing.
     """
-    if raw.tobytes().find(b"<|") >= 0:
-        return raw, at
-    low = lowered(raw)
-    follows = np.ones(len(low) + 1, dtype=bool)
-    follows[:-1] = _SPACE[low]
-    follows[at] = True
-    mark = (low == 46) | (low == 44)
-    mark[0:1] = False
-    where = np.flatnonzero(mark[1:] & _LETTER[low[:-1]] & follows[2:]) + 1
-    where = where[~np.isin(where, at, assume_unique=False)] if len(where) else where
-    return np.insert(low, where, 32), at + np.searchsorted(where, at)
+    return raw if raw.tobytes().find(b"<|") >= 0 else lowered(raw)
 
 
 def cut_windows(pos: np.ndarray, penalty: np.ndarray, length: int) -> tuple[list[float], list[int]]:
@@ -234,17 +279,18 @@ class Packer:
         return out
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder_of(path: str) -> WordEncoder:
+def encoder_of(path: str, memory: int) -> WordEncoder:
     """The worker's own encoder. A function of the module, as a task's closure would bring a new, empty dictionary."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, memory) not in _encoders:
+        _encoders.clear()
+        _encoders[path, memory] = WordEncoder(path, memory)
+    return _encoders[path, memory]
 
 
-def _pack(path: str, length: int, end_id: int):
+def _pack(path: str, length: int, end_id: int, memory: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -252,11 +298,11 @@ def _pack(path: str, length: int, end_id: int):
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in range(7)], names=names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = encoder_of(path, memory)
         packer = Packer(length, encoder.stops, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            raw, at = simplified(*utf8(batch.column(1)))
-            data, at = raw.tobytes(), at.tolist()
+            raw, at = utf8(batch.column(1))
+            data, at = simplified(raw).tobytes(), at.tolist()
             for lo in range(0, batch.num_rows, GROUP):
                 texts = [data[a:b] for a, b in zip(at[lo : lo + GROUP], at[lo + 1 : lo + GROUP + 1])]
                 for identifier, ids in zip(batch.column(0)[lo : lo + GROUP].to_pylist(), encoder.encode(texts)):
@@ -268,8 +314,8 @@ def _pack(path: str, length: int, end_id: int):
     return pack
 
 
-def pack_sequences(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, end_id: int = 2) -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, end_id: int = 2, memory: int = MEMORY) -> DataFrame:
     """One row per piece: doc, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    return rows.mapInArrow(_pack(tokenizer_path, length, end_id), SCHEMA)
+    return rows.mapInArrow(tidy(_pack(tokenizer_path, length, end_id, memory)), SCHEMA)

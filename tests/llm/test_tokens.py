@@ -89,13 +89,26 @@ def test_simplified_texts_have_the_same_ids():
     library, rnd = Tokenizer.from_file(path), random.Random(11)
     pool = ["a", "B.", ".", ",", ", ", ". ", " ", "\n", "é.", "1,", "x..", "'s,", "Word, ", "İ", "..."]
     plain = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(5000)]
-    raw, at = packing.simplified(*utf8(pa.array(plain)))
-    data = raw.tobytes()
+    raw, at = utf8(pa.array(plain))
+    data = packing.simplified(raw).tobytes()
     encoder = packing.WordEncoder(path)
     got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([data[a:b] for a, b in zip(at.tolist(), at.tolist()[1:])])]
     assert got == [e.ids for e in library.encode_batch(plain, add_special_tokens=False)]
 
 
+def test_letters_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rnd = Tokenizer.from_file(path), random.Random(13)
+    whole = [t.removesuffix("</w>") for t in library.get_vocab()]
+    whole = [t for t in whole if t.isascii() and t.isalpha() and t.islower()]
+    words = ["".join(rnd.choice("etaoinshrdlucmfwypvbgkjqxzéèüßñ") for _ in range(rnd.randint(1, 15))) for _ in range(30_000)]
+    words += [rnd.choice(whole) + rnd.choice(whole) for _ in range(30_000)] + whole
+    encoder = packing.WordEncoder(path)
+    got = [np.frombuffer(encoder.letters.encode(w.encode()), "<u4").tolist() for w in words]
+    # Words with contractions' letters after an apostrophe don't occur here: a word of letters is one pre-token.
+    assert got == [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+
+
 def test_pack_query(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
