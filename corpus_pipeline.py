@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import documents, pick, prepare, without
+from loomlog.llm.common import documents, pick, prepare, tidy, without
 from loomlog.llm.exact_dedup import by_identifier, exact_duplicates
 from loomlog.llm.language_id import from_documents, identify
 from loomlog.llm.mixing import mix, render, with_sizes
@@ -66,13 +66,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = pick(docs, doc="doc_id long", source="source string", text="text string", lang="lang string")
     mixed = mix(with_sizes(rows, ["text", "lang"]), sums_of=with_sizes(rows, []))
-    out = mixed.where("taken > 0").mapInArrow(render, "doc long, source string, lang string, text string")
+    out = mixed.where("taken > 0").mapInArrow(tidy(render), "doc long, source string, lang string, text string")
     return out.select(F.col("doc").alias("doc_id"), "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens."""
-    return pack_sequences(docs, tokenizer("word_bpe_49k.json"), length=4096, end_id=2).withColumnRenamed("doc", "doc_id")
+    return pack_sequences(docs, tokenizer("word_bpe_49k.json"), length=4096, end_id=2, memory=100_000).withColumnRenamed("doc", "doc_id")
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("ngram_join", ngram_join), ("mixing", mixing), ("packing", packing)]
