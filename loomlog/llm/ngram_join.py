@@ -27,6 +27,7 @@ smallest unless a component has no other; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, utf8, words_of
+from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, utf8, words_of
 from loomlog.llm.components import components
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
 
@@ -44,7 +45,7 @@ WORDS, NUM, DEN = 5, 3, 4
 #: Slots of the sketch as a power of two, and rows that a task's sketch is cut into.
 SKETCH_BITS, SKETCH_PARTS = 20, 16
 #: Candidates of a pivot that are searched in one block, bytes of text taken at a time, growth of the pivots.
-BLOCK, PIECE, GROWTH = 256, 4 << 20, 4
+BLOCK, PIECE, GROWTH = 256, 1 << 20, 4
 
 
 def needed(a, b):
@@ -94,7 +95,7 @@ def _scan(size: int, bits: int):
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(sizes, type=pa.int64()), pa.array(classes, type=pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
         parts = np.split(sketch.astype(np.uint32), SKETCH_PARTS)
         k = SKETCH_PARTS
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), type=pa.int32()), pa.array([p.tobytes() for p in parts], type=pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), type=pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], type=pa.binary())], names=names)
 
     return scan
 
@@ -103,7 +104,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
+            sums[part] = sums.get(part, 0) + np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int32()), pa.array([x.tobytes() for x in sums.values()], type=pa.binary())], names=["part", "counts"])
 
 
@@ -159,11 +160,41 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_open = bool(like_before[-1]) or (len(at) == 1 and opened)
         keep[-1] = keep[-1] and last_open
         out = at[keep]
+        if len(out):
+            out = out[useful(cols[0][out], cols[2][out], cols[3][out])]
         if len(out):
             yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in cols], names=batch.schema.names)
         held, opened = [c[at[-1] : at[-1] + 1] for c in cols], last_open
 
 
+def useful(key: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """False for postings that fit no other one of their list. The first and last list may be incomplete: they stay.
+
+    A posting at position ``at`` of a set of size n can be the first common one only with sets of at most
+    ((NUM + DEN) * (n - at) - NUM * n) / NUM shingles, and at least NUM / DEN of its own.
+    """
+    n, at = n.astype(np.int64), at.astype(np.int64)
+    most = ((NUM + DEN) * (n - at) - NUM * n) // NUM
+    run = np.cumsum(np.append(0, key[1:] != key[:-1]))
+    starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    sizes = np.diff(np.append(starts, len(run)))
+
+    def of_others(values: np.ndarray) -> np.ndarray:
+        """The least value of the other postings of the list."""
+        order = np.lexsort((values, run))
+        first = order[starts]
+        second = order[np.minimum(starts + 1, len(order) - 1)]
+        out = np.repeat(values[first], sizes)
+        out[first] = np.where(sizes > 1, values[second], np.iinfo(np.int64).max // 2)
+        return out
+
+    keep = (of_others(n) <= most) & (-of_others(-most) >= n)
+    whole = (run > 0) & (run < run[-1])
+    keep |= ~whole
+    # A list that is left with one posting has no pair.
+    return keep & (~whole | (np.repeat(np.add.reduceat(keep.astype(np.int64), starts), sizes) > 1))
+
+
 class DivideSkip:
     """T-occurrence search over the inverted lists of a block of sets."""
 
@@ -262,10 +293,15 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows that are repeated
         for batch in batches:
             found = [own for _, own in shingle_sets(*utf8(batch.column("text")), size)]
             classes = np.array([class_of(own) for own in found], np.int64)
-            right = np.flatnonzero(classes == batch.column("class").to_numpy())
+            right = []
+            for i in np.flatnonzero(classes == batch.column("class").to_numpy()).tolist():
+                if classes[i] not in seen:
+                    seen.add(int(classes[i]))
+                    right.append(i)
             for a in range(0, len(right), 1000):
                 some = right[a : a + 1000]
                 yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array([found[i].tobytes() for i in some], type=pa.binary())], names=["class", "shingles"])
@@ -273,21 +309,17 @@ def _sets(size: int):
     return sets
 
 
-def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) -> DataFrame:
-    """All links found: u (pivot), v; enough of them to connect every component."""
-    spark = rows.sparkSession
+def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) -> DataFrame | None:
+    """Links u (pivot), v that connect every component, or None where there are none."""
     wanted = lists.select("class").distinct()
     best = scanned.groupBy("class").agg(F.min(F.struct("doc", "mark")).alias("r")).join(wanted, "class", "left_semi")
-    best = durable(best.select("class", F.col("r.doc").alias("rdoc"), F.col("r.mark").alias("rmark")))
-    side = F.broadcast(best) if best.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else best
+    best, wanted_classes = settled(best.select("class", F.col("r.doc").alias("rdoc"), F.col("r.mark").alias("rmark")))
+    side = F.broadcast(best) if wanted_classes <= BROADCAST_ROWS else best
     texts = rows.join(side, rows["doc"].eqNullSafe(side["rdoc"]) & (rows["mark"] == side["rmark"])).select("class", "text")
-    sets = durable(texts.mapInArrow(_sets(size), "class long, shingles binary").dropDuplicates(["class"]))
+    sets = durable(texts.mapInArrow(_sets(size), "class long, shingles binary"))
 
-    none = spark.createDataFrame([], "u long, v long")
-    links, done = none, none
-    labels = None
-    low, high = 0, 1
-    active = lists
+    links = done = None
+    low, high, active = 0, 1, lists
     while True:
         rank = F.row_number().over(Window.partitionBy("key").orderBy("class"))
         first = active.withColumn("rank", rank).where(F.col("rank") <= high).where(F.col("rank") > low)
@@ -295,27 +327,34 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
         both = active.join(pivots, "key").where("class > p_class and label != p_label")
         fits = F.expr(f"{DEN} * least(n, p_n) >= {NUM} * greatest(n, p_n) and {NUM + DEN} * least(n - at, p_n - p_at) >= {NUM} * (n + p_n)")
         pairs = both.where(fits).select(F.col("p_class").alias("u"), F.col("class").alias("v")).distinct()
-        pairs = durable(pairs.join(done, ["u", "v"], "left_anti"))
-        if not pairs.isEmpty():
-            count = pairs.groupBy("u").agg(F.count("*").alias("c"))
-            salted = pairs.join(count, "u").withColumn("salt", F.expr(f"pmod(xxhash64(v), cast(ceil(c / {BLOCK}) as bigint))")).drop("c")
-            members = salted.join(sets.withColumnRenamed("class", "v"), "v").select("u", "salt", F.lit(1).alias("first"), F.col("v").alias("own"), "shingles")
-            own = salted.select("u", "salt").distinct().join(sets.withColumnRenamed("class", "u"), "u").select("u", "salt", F.lit(0).alias("first"), F.col("u").alias("own"), "shingles")
-            found = durable(members.unionByName(own).repartition("u", "salt").sortWithinPartitions("u", "salt", "first").mapInArrow(_search, "u long, v long"))
-            done, links = done.unionByName(pairs), links.unionByName(found)
-            if not found.isEmpty():
-                step = components(links)
-                labels = step.select(F.col("node").alias("class"), F.col("root").alias("new"))
-        if labels is not None:
-            active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+        pairs, made = settled(pairs if done is None else pairs.join(done, ["u", "v"], "left_anti"))
+        if made:
+            done = pairs if done is None else settled(done.unionByName(pairs))[0]
+            found, hits = settled(_searched(pairs, made, sets))
+            if hits:
+                links = found if links is None else settled(links.unionByName(found))[0]
+                labels, named = settled(components(links).select(F.col("node").alias("class"), F.col("root").alias("new")))
+                labels = F.broadcast(labels) if named <= BROADCAST_ROWS else labels
+                active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
         low, high = high, high * GROWTH
-        open_ = active.groupBy("key").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b")).where((F.col("c") > low) & (F.col("a") != F.col("b")))
-        active = durable(active.join(open_.select("key"), "key", "left_semi"))
-        labels = None
-        if active.isEmpty():
+        spans = active.groupBy("key").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
+        active, left = settled(active.join(spans.where((F.col("c") > low) & (F.col("a") != F.col("b"))).select("key"), "key", "left_semi"))
+        if not left:
             return links
 
 
+def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
+    """Pairs (pivot u, candidate v) whose sets reach the threshold."""
+    count = pairs.groupBy("u").agg(F.count("*").alias("c"))
+    salt = F.expr(f"pmod(xxhash64(v), cast(ceil(c / {BLOCK}) as bigint))")
+    salted = settled(pairs.join(count, "u").withColumn("salt", salt).drop("c"))[0]
+    # A few pairs go to the sets, else both are shuffled.
+    near = F.broadcast if made <= BROADCAST_ROWS else lambda df: df
+    members = sets.withColumnRenamed("class", "v").join(near(salted), "v").select("u", "salt", F.lit(1).alias("first"), F.col("v").alias("own"), "shingles")
+    own = sets.withColumnRenamed("class", "u").join(near(salted.select("u", "salt").distinct()), "u").select("u", "salt", F.lit(0).alias("first"), F.col("u").alias("own"), "shingles")
+    return members.unionByName(own).repartition("u", "salt").sortWithinPartitions("u", "salt", "first").mapInArrow(_search, "u long, v long")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
     """One row per input row: doc, mark (hash of the text), n_shingles and component (smallest reachable doc)."""
     spark = docs.sparkSession
@@ -330,11 +369,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast(ranks(sketch))
     postings = rows.mapInArrow(_post(size, SKETCH_BITS, shared), "key long, class long, n int, at int")
     lists = postings.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_lists, "key long, class long, n int, at int")
-    lists = durable(lists.withColumn("label", F.col("class")))
+    lists, _ = settled(lists.withColumn("label", F.col("class")))
     links = _links(rows, scanned.where("n > 0"), lists, size)
 
-    roots = components(links)
-    rooted = scanned.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rooted = scanned.withColumn("root", F.col("class"))
+    if links is not None:
+        roots, named = settled(components(links).select(F.col("node").alias("class"), F.col("root").alias("top")))
+        roots = F.broadcast(roots) if named <= BROADCAST_ROWS else roots
+        rooted = rooted.join(roots, "class", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
     full = rooted.where("n > 0")
     least = salted_totals(full, "root", "doc", {"component": F.col("doc")}, how=F.min)
     full = full.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64))).join(least, (F.col("root") == F.col("total_key")) & (F.col("salt") == F.col("total_salt")))

@@ -89,7 +89,23 @@ def test_divide_skip():
         assert sorted(m.DivideSkip(sets).search(query)) == want
 
 
-def test_lists_across_batches():
+def test_useful_postings_keep_every_pair():
+    rnd = np.random.default_rng(8)
+    for _ in range(300):
+        key = np.sort(rnd.integers(0, 12, 40))
+        n = rnd.integers(1, 40, 40)
+        at = (rnd.random(40) * (n - -(-3 * n // 4) + 1)).astype(np.int64)
+        keep = m.useful(key, n, at)
+        for i in range(40):
+            for j in range(40):
+                if i != j and key[i] == key[j] and 7 * min(n[i] - at[i], n[j] - at[j]) >= 3 * (n[i] + n[j]):
+                    assert keep[i] and keep[j]
+        inner = (key > key[0]) & (key < key[-1])
+        assert all((keep & (key == k)).sum() != 1 for k in set(key[inner].tolist()))
+
+
+def test_lists_across_batches(monkeypatch):
+    monkeypatch.setattr(m, "useful", lambda key, n, at: np.ones(len(key), bool))
     rnd = random.Random(9)
     for _ in range(200):
         rows = sorted((rnd.randint(0, 6), rnd.randint(0, 4)) for _ in range(rnd.randint(0, 25)))
@@ -106,7 +122,9 @@ def test_lists_across_batches():
         assert got == sorted((a, b) for a, bs in kinds.items() if len(bs) > 1 for b in bs), rows
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 500_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr("loomlog.llm.components.SMALL_EDGES", small)
     rnd = random.Random(3)
     edges = [(rnd.randint(0, 120), rnd.randint(0, 120)) for _ in range(90)] + [(i, i + 1) for i in range(200, 260)] + [(5, 5), (1, 2), (2, 1)]
     root = {}
