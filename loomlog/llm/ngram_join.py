@@ -3,8 +3,8 @@
 1. A scan turns each text into its set of 5-word shingles (64-bit hashes). Documents with equal sets form a class; its
    number is a hash of the set, so copies never meet as pairs. The same scan counts shingles in a sketch of fixed
    size, one for each task, and the sketches are added.
-2. Shingles are ordered by their counts in the sketch, rare ones first (any order is exact, this one keeps lists
-   short). Two sets of Jaccard similarity t share a shingle among their first n - ceil(t n) + 1, so only those are
+2. Shingles are ordered by hash, those that the sketch shows to be frequent last (any order is exact, this one keeps
+   lists short). Two sets of Jaccard similarity t share a shingle among their first n - ceil(t n) + 1, so only those are
    posted to inverted lists. A list with one class is dropped where it is sorted.
 3. Rounds of pivots: the first classes of every list are its pivots, one in the first round, then four times as many.
    A pivot is paired with the list's later classes unless both already belong to one component, sizes differ too
@@ -15,9 +15,9 @@
    are probed by binary search for what the heap counted often enough, and classes that reach the overlap are links.
 5. Components of the links, and the smallest document of each.
 
-Hot lists are read with partial limits and splittable joins; candidates of a pivot are salted into blocks of about
-BLOCK classes; nothing grows on the driver but the sketch, whose size is fixed. All intermediate tables are
-reliable checkpoints.
+Hot lists are known from the sketch and dealt out in parts of some hundred classes, their pivots are found with partial limits;
+candidates of a pivot are salted into blocks of about BLOCK classes; nothing grows on the driver but the sketch, whose size is fixed. All intermediate tables are
+reliable checkpoints, narrow ones but for the sets of classes that share a list.
 
 Defined results: a text with fewer words than the shingle has its whole sequence as one shingle; null, empty and
 wordless texts have none, and form a component alone; repeated rows are equal texts; a null identifier is never the
@@ -36,14 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, utf8, words_of
+from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of
 from loomlog.llm.components import components
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
 
 #: Words of a shingle; the threshold is NUM / DEN.
 WORDS, NUM, DEN = 5, 3, 4
+#: Shingles that the sketch puts at FREQUENT classes or more come last in the order; the lists of those 32 times
+#: as frequent (HEAVY_RANK: 1 + 12 * log2(32)) are dealt out in two parts, with every doubling in twice as many, up to
+#: 2^MAX_PARTS.
+FREQUENT, HEAVY_RANK, MAX_PARTS = 16, 61, 14
 #: Slots of the sketch as a power of two, and rows that a task's sketch is cut into.
-SKETCH_BITS, SKETCH_PARTS = 20, 16
+SKETCH_BITS, SKETCH_PARTS = 22, 16
 #: Candidates of a pivot that are searched in one block, bytes of text taken at a time, growth of the pivots.
 BLOCK, PIECE, GROWTH = 256, 1 << 20, 4
 
@@ -80,7 +84,7 @@ _SCAN = "doc long, mark long, n long, class long, part int, counts binary"
 
 def _scan(size: int, bits: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = np.zeros(1 << bits, dtype=np.int64), set()
+        sketch, seen = np.zeros(1 << bits, dtype=np.uint32), set()
         names = ["doc", "mark", "n", "class", "part", "counts"]
         for batch in batches:
             sizes, classes = [], []
@@ -93,7 +97,7 @@ def _scan(size: int, bits: int):
                     np.add.at(sketch, (own >> np.uint64(64 - bits)).astype(np.int64), 1)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(sizes, type=pa.int64()), pa.array(classes, type=pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
-        parts = np.split(sketch.astype(np.uint32), SKETCH_PARTS)
+        parts = np.split(sketch, SKETCH_PARTS)
         k = SKETCH_PARTS
         yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), type=pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], type=pa.binary())], names=names)
 
@@ -105,17 +109,37 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             sums[part] = sums.get(part, 0) + np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int32()), pa.array([x.tobytes() for x in sums.values()], type=pa.binary())], names=["part", "counts"])
+    # Sums stop at what 32 bits hold: beyond, a slot's rank is the highest anyway.
+    packed = [zlib.compress(np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes(), 1) for x in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int32()), pa.array(packed, type=pa.binary())], names=["part", "counts"])
 
 
-def ranks(sketch: np.ndarray) -> np.ndarray:
-    """The top byte of an order key for each slot: rare slots come first."""
-    return np.minimum(255, np.floor(12 * np.log2(1.0 + sketch))).astype(np.uint64) << np.uint64(56)
+def ranks(sketch: np.ndarray, mean: float | None = None) -> np.ndarray:
+    """The top byte of an order key for each slot: 0 unless the slot stands out by FREQUENT classes and three deviations.
+
+    What a slot has beside the frequent shingle is about the mean of all slots, so the bound holds at every size.
+    """
+    mean = float(sketch.mean()) if mean is None else mean
+    least = max(float(FREQUENT), 3 * mean**0.5)
+    above = np.maximum((sketch - mean) / least, 0)
+    return np.where(above < 1, 0, np.minimum(255, 1 + np.floor(12 * np.log2(np.maximum(above, 1))))).astype(np.uint8)
+
+
+def _all_ranks(sums: dict[int, bytes]) -> np.ndarray:
+    """Ranks of all slots from the compressed parts of the sketch, part by part."""
+    width = (1 << SKETCH_BITS) // SKETCH_PARTS
+    own = lambda part: np.frombuffer(zlib.decompress(sums[part]), np.uint32) if part in sums else np.zeros(width, np.uint32)
+    mean = sum(float(own(p).sum(dtype=np.float64)) for p in range(SKETCH_PARTS)) / (1 << SKETCH_BITS)
+    return np.concatenate([ranks(own(p), mean) for p in range(SKETCH_PARTS)])
+
+
+def heavy(key: np.ndarray) -> np.ndarray:
+    return key.view(np.uint64) >> np.uint64(56) >= np.uint64(HEAVY_RANK)
 
 
 def order_keys(own: np.ndarray, top: np.ndarray, bits: int) -> np.ndarray:
     """Keys of a set in the common order: the slot's rank, then 56 bits of the hash."""
-    return np.sort(top[(own >> np.uint64(64 - bits)).astype(np.int64)] | ((own << np.uint64(20)) >> np.uint64(8)) | (own >> np.uint64(64 - 8)))
+    return np.sort(top[(own >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | ((own << np.uint64(20)) >> np.uint64(8)) | (own >> np.uint64(64 - 8)))
 
 
 def _post(size: int, bits: int, shared):
@@ -139,7 +163,10 @@ def _post(size: int, bits: int, shared):
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings sorted by key and class -> those of lists with two classes or more, each class once."""
+    """Postings sorted by key and class -> those of lists with two classes or more, each class once.
+
+    Of heavy lists a task has only a part, so nothing is known about their other classes: all their postings stay.
+    """
     held = None  # the last row of the batches so far, and whether its list has been handed on
     opened = False
     for batch in batches:
@@ -154,10 +181,10 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = key[at]
         like_before = np.append(False, k[1:] == k[:-1])
         like_after = np.append(k[1:] == k[:-1], False)
-        keep = like_before | like_after
+        keep = like_before | like_after | heavy(k)
         if held is not None and opened:
             keep[0] = False  # it went out with the last batch
-        last_open = bool(like_before[-1]) or (len(at) == 1 and opened)
+        last_open = bool(like_before[-1]) or (len(at) == 1 and opened) or bool(heavy(k[-1:])[0])
         keep[-1] = keep[-1] and last_open
         out = at[keep]
         if len(out):
@@ -189,7 +216,7 @@ def useful(key: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
         return out
 
     keep = (of_others(n) <= most) & (-of_others(-most) >= n)
-    whole = (run > 0) & (run < run[-1])
+    whole = (run > 0) & (run < run[-1]) & ~heavy(key)
     keep |= ~whole
     # A list that is left with one posting has no pair.
     return keep & (~whole | (np.repeat(np.add.reduceat(keep.astype(np.int64), starts), sizes) > 1))
@@ -316,7 +343,7 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
     best, wanted_classes = settled(best.select("class", F.col("r.doc").alias("rdoc"), F.col("r.mark").alias("rmark")))
     side = F.broadcast(best) if wanted_classes <= BROADCAST_ROWS else best
     texts = rows.join(side, rows["doc"].eqNullSafe(side["rdoc"]) & (rows["mark"] == side["rmark"])).select("class", "text")
-    sets = durable(texts.mapInArrow(_sets(size), "class long, shingles binary"))
+    sets = durable(texts.mapInArrow(tidy(_sets(size)), "class long, shingles binary"))
 
     links = done = None
     low, high, active = 0, 1, lists
@@ -324,7 +351,8 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
         rank = F.row_number().over(Window.partitionBy("key").orderBy("class"))
         first = active.withColumn("rank", rank).where(F.col("rank") <= high).where(F.col("rank") > low)
         pivots = first.select("key", *[F.col(c).alias(f"p_{c}") for c in ("class", "n", "at", "label")])
-        both = active.join(pivots, "key").where("class > p_class and label != p_label")
+        parts = active.select("key", "salt").distinct()
+        both = active.join(pivots.join(parts, "key"), ["key", "salt"]).where("class > p_class and label != p_label")
         fits = F.expr(f"{DEN} * least(n, p_n) >= {NUM} * greatest(n, p_n) and {NUM + DEN} * least(n - at, p_n - p_at) >= {NUM} * (n + p_n)")
         pairs = both.where(fits).select(F.col("p_class").alias("u"), F.col("class").alias("v")).distinct()
         pairs, made = settled(pairs if done is None else pairs.join(done, ["u", "v"], "left_anti"))
@@ -337,12 +365,19 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
                 labels = F.broadcast(labels) if named <= BROADCAST_ROWS else labels
                 active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
         low, high = high, high * GROWTH
-        spans = active.groupBy("key").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
-        active, left = settled(active.join(spans.where((F.col("c") > low) & (F.col("a") != F.col("b"))).select("key"), "key", "left_semi"))
+        active, left = settled(_open(active, low))
         if not left:
             return links
 
 
+def _open(lists: DataFrame, done: int) -> DataFrame:
+    """Lists with more than ``done`` classes, not all in one component. Sums and join go by (key, salt)."""
+    parts = lists.groupBy("key", "salt").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
+    whole = parts.groupBy("key").agg(F.sum("c").alias("c"), F.min("a").alias("a"), F.max("b").alias("b"), F.collect_set("salt").alias("salts"))
+    left = whole.where((F.col("c") > done) & (F.col("a") != F.col("b"))).select("key", F.explode("salts").alias("salt"))
+    return lists.join(left, ["key", "salt"], "left_semi")
+
+
 def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
     """Pairs (pivot u, candidate v) whose sets reach the threshold."""
     count = pairs.groupBy("u").agg(F.count("*").alias("c"))
@@ -352,7 +387,7 @@ def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
     near = F.broadcast if made <= BROADCAST_ROWS else lambda df: df
     members = sets.withColumnRenamed("class", "v").join(near(salted), "v").select("u", "salt", F.lit(1).alias("first"), F.col("v").alias("own"), "shingles")
     own = sets.withColumnRenamed("class", "u").join(near(salted.select("u", "salt").distinct()), "u").select("u", "salt", F.lit(0).alias("first"), F.col("u").alias("own"), "shingles")
-    return members.unionByName(own).repartition("u", "salt").sortWithinPartitions("u", "salt", "first").mapInArrow(_search, "u long, v long")
+    return members.unionByName(own).repartition("u", "salt").sortWithinPartitions("u", "salt", "first").mapInArrow(tidy(_search), "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
@@ -360,16 +395,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     prepare(spark)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string").withColumn("mark", F.xxhash64("text"))
-    both = durable(rows.mapInArrow(_scan(size, SKETCH_BITS), _SCAN))
+    both = durable(rows.mapInArrow(tidy(_scan(size, SKETCH_BITS)), _SCAN))
     scanned = both.where("part is null").select("doc", "mark", "n", "class")
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    sums = {}
     for r in both.where("part is not null").select("part", "counts").repartition(SKETCH_PARTS, "part").mapInArrow(_add, "part int, counts binary").collect():
-        width = len(sketch) // SKETCH_PARTS
-        sketch[r["part"] * width : (r["part"] + 1) * width] += np.frombuffer(r["counts"], np.int64)
-    shared = spark.sparkContext.broadcast(ranks(sketch))
-    postings = rows.mapInArrow(_post(size, SKETCH_BITS, shared), "key long, class long, n int, at int")
-    lists = postings.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_lists, "key long, class long, n int, at int")
-    lists, _ = settled(lists.withColumn("label", F.col("class")))
+        sums[r["part"]] = r["counts"]
+    shared = spark.sparkContext.broadcast(_all_ranks(sums))
+    postings = rows.mapInArrow(tidy(_post(size, SKETCH_BITS, shared)), "key long, class long, n int, at int")
+    # The top byte of a key is its slot's rank, twelve to a doubling: a heavy list's number of parts follows from it.
+    salt = F.expr(f"if(shiftrightunsigned(key, 56) >= {HEAVY_RANK}, pmod(class, shiftleft(1L, cast(least({MAX_PARTS}, 1 + (shiftrightunsigned(key, 56) - {HEAVY_RANK}) div 12) as int))), 0L)")
+    lists = postings.repartition("key", salt).sortWithinPartitions("key", "class").mapInArrow(tidy(_lists), "key long, class long, n int, at int")
+    lists, _ = settled(lists.withColumn("label", F.col("class")).withColumn("salt", salt))
     links = _links(rows, scanned.where("n > 0"), lists, size)
 
     rooted = scanned.withColumn("root", F.col("class"))

@@ -63,10 +63,12 @@ def corpus(seed, n):
     return [*out, None, "", " \n", out[0].upper(), "a b c d", "A B c d", "x " * 30_000]
 
 
-@pytest.mark.parametrize(("seed", "bits"), [(1, 20), (2, 8)])
+@pytest.mark.parametrize(("seed", "bits"), [(1, 20), (2, 8), (3, 4)])
 def test_against_brute_force(spark, monkeypatch, seed, bits):
+    # The fewer slots a sketch has, the more lists count as heavy and are dealt out in parts.
     monkeypatch.setattr(m, "SKETCH_BITS", bits)
     monkeypatch.setattr(m, "BLOCK", 20)
+    monkeypatch.setattr(m, "FREQUENT", 2)
     rows = [(i if i % 45 else None, t) for i, t in enumerate(corpus(seed, 350))]
     rows += rows[:3]
     df = spark.createDataFrame([(i, t, 1, "c", 1, "d", 1, "c") for i, t in rows], SCHEMA).repartition(5)
@@ -104,6 +106,17 @@ def test_useful_postings_keep_every_pair():
         assert all((keep & (key == k)).sum() != 1 for k in set(key[inner].tolist()))
 
 
+def test_heavy_lists_stay_whole():
+    key = np.sort(np.array([m.HEAVY_RANK << 56 | i // 3 for i in range(30)], np.uint64)).view(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.arange(30)), pa.array(np.full(30, 9, np.int32)), pa.array(np.full(30, 2, np.int32))], names=["key", "class", "n", "at"])
+    for cuts in ([0, 30], [0, 1, 2, 13, 30], list(range(31))):
+        parts = [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+        got = [x for part in m._lists(iter(parts)) for x in part.column(1).to_pylist()]
+        assert got == list(range(30))
+    alone = [batch.slice(i, 1) for i in (0, 5, 9)]
+    assert sum(p.num_rows for p in m._lists(iter(alone))) == 3
+
+
 def test_lists_across_batches(monkeypatch):
     monkeypatch.setattr(m, "useful", lambda key, n, at: np.ones(len(key), bool))
     rnd = random.Random(9)
