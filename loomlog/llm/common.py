@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomlog.session import ensure_checkpoint_dir, ship
 
@@ -151,15 +150,6 @@ def word_counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return per_row(first, at)
 
 
-def table(schema: T.StructType, **columns) -> pa.RecordBatch:
-    """A record batch with the columns in the order of the Spark schema."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
-    arrays = [columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], type=f.type) for f in arrow]
-    return pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, arrow)], schema=arrow)
-
-
 def salted_totals(rows: DataFrame, key: str, spread: str, measures: dict, salts: int = 64, how=F.sum) -> DataFrame:
     """Totals of ``measures`` (name -> expression, summed or as ``how`` says) per key, one row for each (key, salt) that occurs.
 
