@@ -168,6 +168,27 @@ def test_sink(spark, tmp_path, codec):
     assert tables.read_table(spark, path).count() == 10
 
 
+def test_plain_messages_equal_single_rows():
+    import io
+
+    import pyarrow as pa
+
+    from loomlog.sources import reading as r
+    from loomlog.sources.datasource import RowWriter
+
+    rows = [{"channel_id": None if i % 3 else 7, "topic": "/a" if i % 3 else "/b", "message_encoding": None, "schema_id": None, "sequence": None if i % 2 else 2 * i, "log_time": 50 - i, "publish_time": None if i % 5 else i, "data": None if i % 7 == 0 else b"x" * i} for i in range(40)]
+    kinds = dict(zip(rows[0], (pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())))
+    batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], type=t) for k, t in kinds.items()], names=list(kinds))
+    found = []
+    for policy in ("FAILFAST", "QUARANTINE"):
+        out = io.BytesIO()
+        writer = RowWriter(out, WriterOptions(chunk_size=64), policy)
+        writer.put_all(batch)
+        writer.writer.complete()
+        found.append([(bytes(x.body), x.opcode) for x in r.scan(out, r.ReaderOptions.strict())])
+    assert found[0] == found[1] and sum(op == 5 for _, op in found[0]) == 40
+
+
 def test_sink_of_all_kinds_and_bad_rows(spark, tmp_path):
     rows = [
         ("schema", None, None, "s", "enc", b"def", None, None, None),
