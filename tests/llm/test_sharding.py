@@ -46,6 +46,32 @@ def test_rows_are_even_and_groups_stay_together(spark, monkeypatch, n):
         assert len(pairs) > 50 and sum(len(g) == 1 for g in pairs) > 0.85 * len(pairs)
 
 
+@pytest.mark.parametrize("dealt", [1 << 14, 4])
+def test_only_groups_larger_than_a_quota_are_cut(spark, monkeypatch, dealt):
+    monkeypatch.setattr(sharding, "DEALT", dealt)
+    sizes = {"giant": 5000, **{f"group {n}": n for n in (600, 900, 1200, 1500, 1800, 2100)}, **{f"few {i}": 2 + i % 5 for i in range(300)}}
+    rows = [(None, t) if i % 50 == 1 else (len(t) * 10_000 + i, t) for t, n in sizes.items() for i in range(n)]
+    rows += [(10**9 + i, f"own {i}") for i in range(40_000 - len(rows))]
+    got = sharding.balanced_shards(frame(spark, rows).repartition(4), 16).collect()
+    check(got, rows, 16)
+    groups = defaultdict(Counter)
+    for r in got:
+        groups[r["text_crc32"]][r["shard"]] += 1
+    of = {t: groups[zlib.crc32(t.encode())] for t in sizes}
+    assert len(of.pop("giant")) == 2 and all(len(g) == 1 for g in of.values())
+
+
+def test_groups_alone_fill_even_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "DEALT", 4)
+    rows = [(i, f"group {i // 3}") for i in range(2000)]
+    got = sharding.balanced_shards(frame(spark, rows).repartition(4), 16).collect()
+    check(got, rows, 16)
+    groups = defaultdict(set)
+    for r in got:
+        groups[r["text_crc32"]].add(r["shard"])
+    assert sum(len(g) > 1 for g in groups.values()) <= 15
+
+
 def test_quota():
     wishes = np.array([[0, 10, 0], [4, 0, 8], [0, 0, 0]])
     share = sharding.quota(wishes, np.array([10.0, 10.0, 6.0]), 10.0)
