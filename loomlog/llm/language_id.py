@@ -2,9 +2,10 @@
 
     posterior(l) ~ prior(l | host, address suffix) * P(declared | l) * P(text | l)^w
 
-* text: byte trigrams of the whole text under one smoothed model for each language. The models are fitted on a hashed
-  sample of at most 4 * TRAIN_ROWS rows with a declared language (the only sample; all else covers every row). Trigrams
-  overlap, so a text counts as at most TEXT_STRENGTH independent ones.
+* text: byte trigrams of the whole text under one smoothed model for each language. Which languages exist follows from
+  the declarations of all rows; each one's model is fitted on a hashed sample of its own of TRAIN_ROWS to 2 * TRAIN_ROWS
+  rows or, if it has fewer, on all of them (the only sample; all else covers every row). Trigrams overlap, so a text
+  counts as at most TEXT_STRENGTH independent ones.
 * declared: a markup or metadata language; P(declared | l) is a smoothed table over all rows.
 * host: counts over all rows by grouped aggregation, smoothed from host to address suffix to the whole table; a row's
   own vote is left out.
@@ -12,8 +13,14 @@
 A text whose trigrams (with a letter, without a digit) are clearly likelier under a uniform model than under every
 language, or that has no letters, is undetermined ("und") and rejected, as is one whose best posterior is under ``least``.
 
+A language lacks a model beyond the MAX_LANGUAGES most declared ones, or if its sample has under LEAST_TRIGRAMS trigrams
+(a model that small is hardly worse than none for any text) and it makes under LEAST_SHARE of the declarations. A text
+with letters that would be rejected keeps a declared language without a model, and else, if it declares none and looks
+like no known language, that of the majority of its host's declarations. The confidence is then the share of all
+declarations with a model that the texts confirm, for hosts times the share of the majority.
+
 One map-only scan leaves a narrow table (a few numbers a row), which is checkpointed; hot hosts are salted in both the
-aggregation and the join. The model has 65,536 cells for each of at most MAX_LANGUAGES languages.
+aggregation and the join. The model has 65,536 cells for each of at most MAX_LANGUAGES languages (64 MB at most).
 
 Defined results: null or empty text is "und"; null declared or host count as no evidence; ties go to the first
 language by code; repeated rows are judged one by one; an empty table gives no rows.
@@ -28,9 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable, lowered, per_row, pick, prepare, salted_totals, tidy, utf8
+from loomlog.llm.common import durable, lowered, per_row, pick, prepare, tidy, utf8
 
-TRAIN_ROWS, MAX_LANGUAGES = 4000, 64
+TRAIN_ROWS, MAX_LANGUAGES = 4000, 256
+#: Trigrams of a sample that make a model, or else share of the declarations.
+LEAST_TRIGRAMS, LEAST_SHARE = 5000, 0.002
 #: Cells of the hashed trigram model; bytes scored at a time.
 CELLS, SLICE = 1 << 16, 1 << 19
 #: Weights: trigrams that a text counts as at most, pseudo-rows of the host's and suffix's parents, and of tables.
@@ -94,18 +103,21 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages by code and log P(cell | language), from a sample of rows with a declared language."""
+    """Languages by code and log P(cell | language), from a sample of each declared language's rows."""
     labelled = rows.where("declared is not null and declared != '' and text is not null")
-    each = max(1, labelled.count() // train_rows)
-    sample = labelled.where(F.pmod(F.xxhash64(F.lit(3), "doc", "host"), F.lit(each)) == 0).limit(4 * train_rows).select("declared", "text")
+    said = labelled.groupBy("declared").count().orderBy(F.col("count").desc(), "declared").limit(MAX_LANGUAGES).collect()
+    rates = rows.sparkSession.createDataFrame([(r["declared"], max(1, r["count"] // train_rows)) for r in said], "declared string, each long")
+    lot = F.pmod(F.xxhash64(F.lit(3), "doc", "host", F.xxhash64("text")), F.col("each"))
+    sample = labelled.join(F.broadcast(rates), "declared").where(lot == 0).select("declared", "text")
     schema = "lang string, n long, cells binary"
     sums = sample.mapInArrow(tidy(_train), schema).repartition(8, "lang").mapInArrow(_add, schema)
-    # A code on hardly any row is a slip rather than a language.
-    got = sums.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
-    total = sum(r["n"] for r in got)
-    got = sorted((r for r in got if r["n"] >= 0.002 * total), key=lambda r: r["lang"])
-    counts = np.array([np.frombuffer(r["cells"], np.int64) for r in got], float).reshape(len(got), CELLS) + PSEUDO
-    return [r["lang"] for r in got], np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    got = {r["lang"]: np.frombuffer(r["cells"], np.int64) for r in sums.collect()}
+    least = LEAST_SHARE * sum(r["count"] for r in said)
+    langs = sorted(r["declared"] for r in said if r["declared"] in got and (got[r["declared"]].sum() >= LEAST_TRIGRAMS or r["count"] >= least))
+    table = np.empty((len(langs), CELLS), np.float32)
+    for k, l in enumerate(langs):
+        table[k] = np.log((got[l] + PSEUDO) / (got[l].sum() + PSEUDO * CELLS))
+    return langs, table
 
 
 def _score(model):
@@ -125,7 +137,7 @@ def _score(model):
             known = (n > 0) & (np.minimum(n, TEXT_STRENGTH) * (UNIFORM - mean.max(axis=0)) < UND_MARGIN) if len(table) else np.zeros(batch.num_rows, bool)
             # Letters without a trigram: no evidence of the text, the others decide.
             blank = (n == 0) & (per_row(_LETTER[raw | 32], at) > 0)
-            text = pa.array(np.where(known, best, -1), type=pa.int32(), mask=blank)
+            text = pa.array(np.where(known, best, np.where(n > 0, -1, -2)), type=pa.int32(), mask=blank)
             weighed = (mean * np.minimum(n, TEXT_STRENGTH)).T
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "mark", "declared", "suffix", "host")), text, pa.array(list(weighed), type=pa.list_(pa.float64()))], names=["doc", "mark", "declared", "suffix", "host", "text_lang", "ll"])
 
@@ -157,55 +169,72 @@ def identify(evidence: DataFrame, least: float = 0.5) -> DataFrame:
     schema = "doc long, mark long, declared string, suffix string, host string, text_lang int, ll array<double>"
     scored = durable(rows.mapInArrow(tidy(_score(model)), schema))
     size = len(langs)
+    names = F.array(*[F.lit(x) for x in langs]).cast("array<string>")
+    declares = F.coalesce(F.col("declared") != "", F.lit(False))
+    # What is declared: null if nothing, empty if a language with a model, or else the language that lacks one.
+    voted = scored.withColumn("tag", F.when(declares & F.col("declared").isin(langs), F.lit("")).when(declares, F.col("declared")))
+    lacks = F.coalesce(F.col("tag") != "", F.lit(False))
     if not size:
-        return scored.select("doc", "mark", F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"), F.lit("und").alias("text_lang"), "declared", F.lit(False).alias("kept"))
+        # No text has a trigram: declarations are all there is, and nothing confirms or contradicts them.
+        told = lacks & (F.coalesce("text_lang", F.lit(-1)) == -1)
+        out = voted.select("doc", "mark", F.when(told, F.col("declared")).otherwise("und").alias("lang"), F.when(told, F.lit(0.5)).otherwise(F.lit(0.0)).alias("confidence"), F.lit("und").alias("text_lang"), "declared")
+        return out.withColumn("kept", (F.col("lang") != "und") & (F.col("confidence") >= least))
 
     # Votes of the text alone, by declared language: a small table (languages known to the model, or another).
-    code = F.when(F.col("declared").isin(langs), F.col("declared")).when(F.col("declared").isNotNull(), F.lit("other"))
-    voted = scored.withColumn("said", code)
+    voted = voted.withColumn("said", F.when(F.col("tag") == "", (F.array_position(names, F.col("declared")) - 1).cast("int")).when(F.col("declared").isNotNull(), F.lit(size)))
     seen = voted.where("text_lang >= 0").groupBy("text_lang", "said").count().collect()
     whole = np.full(size, PSEUDO)
-    says = {s: np.full(size, PSEUDO) for s in [*langs, "other"]}
+    says = np.full((size + 1, size), PSEUDO)
     for r in seen:
         whole[r["text_lang"]] += r["count"]
         if r["said"] is not None:
-            says[r["said"]][r["text_lang"]] += r["count"]
-    declared_total = sum(says.values())
+            says[r["said"], r["text_lang"]] += r["count"]
     prior = whole / whole.sum()
-    say = {s: np.log(v / declared_total) for s, v in says.items()}
+    words = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.log(says / says.sum(axis=0)))], "said int, word array<double>")
+    trust = float((np.trace(says[:size]) - size * PSEUDO + 1) / (says[:size].sum() - size * size * PSEUDO + 2))
 
     # Hierarchical priors by grouped aggregation: whole table -> suffix -> host.
-    hits = {f"v{k}": F.coalesce(F.col("text_lang") == k, F.lit(False)).cast("long") for k in range(size)}
-    suffixes = voted.groupBy("suffix").agg(*[F.sum(e).alias(f"s{k}") for k, e in enumerate(hits.values())])
-    hosts = salted_totals(voted.select("suffix", "text_lang", "doc", F.struct("suffix", "host").alias("place")), "place", "doc", hits)
-    hosts = hosts.select("*", F.col("total_key.suffix").alias("of")).join(suffixes, F.col("of").eqNullSafe(F.col("suffix"))).drop("suffix", "of")
-
-    place = F.struct("suffix", "host")
-    joined = voted.withColumn("place", place).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64))).join(hosts, (F.col("place") == F.col("total_key")) & (F.col("salt") == F.col("total_salt")))
-    own = [F.coalesce(F.col("text_lang") == k, F.lit(False)).cast("double") for k in range(size)]
-    up = [(F.col(f"s{k}") - own[k] + SUFFIX_ROWS * F.lit(float(prior[k]))) for k in range(size)]
-    up_all = sum(up[1:], up[0])
-    lo = [(F.col(f"v{k}") - own[k] + HOST_ROWS * up[k] / up_all) for k in range(size)]
-    lo_all = sum(lo[1:], lo[0])
-    score = []
-    for k in range(size):
-        word = F.lit(0.0)
-        for s, v in say.items():
-            word = F.when(F.col("said") == s, F.lit(float(v[k]))).otherwise(word)
-        # Without a host there is only the table's own prior.
-        base = F.when(F.col("host").isNull(), F.lit(float(np.log(prior[k])))).otherwise(F.log(lo[k] / lo_all))
-        score.append((base + word + F.get("ll", F.lit(k))).alias(f"p{k}"))
-    scores = joined.select("doc", "mark", "declared", "text_lang", F.array(*score).alias("score"))
+    codes = F.sequence(F.lit(0), F.lit(size - 1))
+    count_of = lambda votes: F.transform(codes, lambda k: F.aggregate(F.filter(votes, lambda x: x["text_lang"] == k), F.lit(0.0), lambda a, x: a + x["c"]))
+    vote = F.collect_list(F.when(F.col("text_lang") >= 0, F.struct("text_lang", "c")))
+    placed = voted.withColumn("place", F.struct("suffix", "host")).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64)))
+    cells = placed.groupBy("place", "salt", "text_lang", "tag").agg(F.count("*").alias("c"))
+    cells = durable(cells.groupBy("place", "text_lang", "tag").agg(F.sum("c").alias("c"), F.collect_set("salt").alias("salts")))
+    suffixes = cells.groupBy(F.col("place.suffix").alias("of"), "text_lang").agg(F.sum("c").alias("c")).groupBy("of").agg(vote.alias("votes")).select("of", count_of(F.col("votes")).alias("s"))
+    tags = cells.where("tag is not null").groupBy("place", "tag").agg(F.sum("c").alias("c")).groupBy("place")
+    other = F.when(F.col("tag") != "", F.struct("c", "tag"))
+    tags = tags.agg(F.max(other).alias("most"), F.sum("c").alias("all")).where("2 * most.c > all and place.host is not null").select("place", F.col("most.tag").alias("host_tag"), (F.col("most.c") / F.col("all")).alias("host_share"))
+    hosts = cells.groupBy("place").agg(vote.alias("votes"), F.array_distinct(F.flatten(F.collect_list("salts"))).alias("salts"))
+    hosts = hosts.join(tags, "place", "left").join(suffixes, F.col("place.suffix").eqNullSafe(F.col("of")))
+    hosts = hosts.select("place", "host_tag", "host_share", "s", count_of(F.col("votes")).alias("v"), F.explode("salts").alias("salt"))
+
+    joined = placed.join(hosts, ["place", "salt"]).join(F.broadcast(words), "said", "left")
+    # Without its own vote; a text that tells nothing has none.
+    own = F.transform(codes, lambda k: F.when(k == F.col("text_lang"), F.lit(1.0)).otherwise(F.lit(0.0)))
+    less = lambda a: F.zip_with(F.col(a), F.col("own"), lambda x, o: x - o)
+    total = lambda a: F.aggregate(F.col(a), F.lit(0.0), lambda t, x: t + x)
+    literal = lambda v: F.array(*[F.lit(float(x)) for x in v])
+    joined = joined.withColumn("own", own)
+    joined = joined.withColumn("up", F.zip_with(less("s"), literal(SUFFIX_ROWS * prior), lambda x, p: x + p)).withColumn("up_all", total("up"))
+    joined = joined.withColumn("lo", F.zip_with(less("v"), F.col("up"), lambda x, u: x + HOST_ROWS * u / F.col("up_all"))).withColumn("lo_all", total("lo"))
+    # Without a host there is only the table's own prior.
+    base = F.when(F.col("host").isNull(), literal(np.log(prior))).otherwise(F.transform("lo", lambda x: F.log(x / F.col("lo_all"))))
+    score = F.zip_with(base, F.coalesce("word", literal(np.zeros(size))), lambda x, w: x + w)
+    score = F.zip_with(score, F.col("ll"), lambda x, t: x + t)
+    scores = joined.select("doc", "mark", "declared", "tag", "host_tag", "host_share", "text_lang", score.alias("score"))
     scores = scores.withColumn("top", F.array_max("score"))
-    names = F.array(*[F.lit(x) for x in langs])
     lang = F.get(names, (F.array_position("score", F.col("top")) - 1).cast("int"))
     best = F.lit(1.0) / F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+    scores = scores.withColumn("best", best)
     und = F.coalesce(F.col("text_lang") < 0, F.lit(False))
+    strange = F.coalesce(F.col("text_lang") == -1, F.lit(False))
+    told = lacks & (strange | (~und & (F.col("best") < least)))
+    hosted = strange & ~declares & F.col("host_tag").isNotNull()
     out = scores.select(
         "doc",
         "mark",
-        F.when(und, F.lit("und")).otherwise(lang).alias("lang"),
-        F.when(und, F.lit(0.0)).otherwise(best).alias("confidence"),
+        F.when(told, F.col("declared")).when(hosted, F.col("host_tag")).when(und, F.lit("und")).otherwise(lang).alias("lang"),
+        F.when(told, F.lit(trust)).when(hosted, F.lit(trust) * F.col("host_share")).when(und, F.lit(0.0)).otherwise(F.col("best")).alias("confidence"),
         F.when(und, F.lit("und")).otherwise(F.get(names, F.col("text_lang"))).alias("text_lang"),
         "declared",
     )

@@ -37,6 +37,32 @@ def test_held_out_accuracy_and_edges(spark):
     assert [odd[k]["lang"] for k in (None, -1, -2, -3)] == ["und"] * 4 and not any(odd[k]["kept"] for k in (None, -1, -2, -3)) and odd[-4]["lang"] == "fr"
 
 
+def test_rare_languages_are_kept(spark):
+    rnd = random.Random(9)
+    greek, hebrew = ["και ", "το ", "αν", "εί", "ος ", "μα"], ["של ", "את ", "ים ", "הא", "לא ", "מו"]
+    text = lambda s, n: "".join(rnd.choice(s) for _ in range(n))
+    row = lambda i, t, said, host: (i, t, said, host, "h", 1, 1)
+    data = [row(i, prose(l, 30, rnd), l, f"{l}.site") for i, l in ((i, rnd.choice(["en", "fr", "de"])) for i in range(5000))]
+    data += [row(10_000 + i, text(greek, 400), "el", "mixed") for i in range(5)] + [row(10_010, text(greek, 60), None, "mixed")]
+    # Too little for a model: the declaration counts, then the host.
+    data += [row(20_000 + i, text(hebrew, 60), "he", "he.site") for i in range(5)] + [row(20_010, text(hebrew, 60), None, "he.site"), row(20_011, text(hebrew, 60), None, "fr.site")]
+    data += [row(20_012, "12 34", "he", "he.site"), row(20_013, None, "he", "he.site")]
+    got = {r["doc"]: r for r in m.identify(m.from_documents(spark.createDataFrame(data, SCHEMA).repartition(4))).collect()}
+    assert len(got) == len(data)
+    kept = lambda i: got[i]["lang"] if got[i]["kept"] else None
+    assert [kept(i) for i in (*range(10_000, 10_005), 10_010)] == ["el"] * 6
+    assert [kept(i) for i in (*range(20_000, 20_005), 20_010)] == ["he"] * 6 and [kept(i) for i in (20_011, 20_012, 20_013)] == [None] * 3
+    assert got[20_000]["confidence"] > 0.9 and sum(got[i]["lang"] == got[i]["declared"] for i in range(5000)) > 4950
+
+
+def test_more_than_64_languages(spark):
+    rnd = random.Random(10)
+    words = {f"l{k}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 6))) + " " for _ in range(12)] for k in range(80)}
+    data = [(i, "".join(rnd.choice(words[l]) for _ in range(80)), l, "site", "h", 1, 1) for i, l in enumerate(sorted(words) * 20)]
+    got = m.identify(m.from_documents(spark.createDataFrame(data, SCHEMA).repartition(4))).collect()
+    assert len(got) == len(data) and all(r["lang"] == r["declared"] and r["kept"] for r in got)
+
+
 def test_empty(spark):
     assert m.identify(m.from_documents(spark.createDataFrame([], SCHEMA))).collect() == []
     only = spark.createDataFrame([(1, "text", None, None, "h", 1, 1)], SCHEMA)
