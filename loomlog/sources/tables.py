@@ -53,12 +53,12 @@ def channels(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def summary_records(spark: SparkSession, path: str) -> DataFrame:
-    """All summary records in order (channels, schemas, statistics, indexes) as JSON; no rows without a summary."""
+    """All summary records in order (channels, schemas, statistics, indexes) as JSON of all columns; no rows without a summary."""
     register(spark)
     parts = []
-    for k, (table, columns) in enumerate((("channels", ["id", "topic"]), ("schemas", ["id", "name"]), ("statistics", ["message_count"]), ("chunk_index", ["chunk_start_offset"]), ("attachment_index", ["offset", "name"]), ("metadata_index", ["offset", "name"]))):
+    for k, table in enumerate(("channels", "schemas", "statistics", "chunk_index", "attachment_index", "metadata_index")):
         rows = read_table(spark, path, table)
-        parts.append(rows.select("path", F.lit(k).alias("group_order"), F.lit(table).alias("group"), F.to_json(F.struct(*columns)).alias("record")))
+        parts.append(rows.select("path", F.lit(k).alias("group_order"), F.lit(table).alias("group"), F.to_json(F.struct(*(c for c in rows.columns if c != "path"))).alias("record")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,4 +1,5 @@
 import decimal
+import json
 import os
 
 import pytest
@@ -60,6 +61,16 @@ def test_orders_and_filters(spark, tmp_path, chunks):
         assert e.value.details["resource"] == "sort"
 
 
+def test_summary_records_hold_all_columns(spark, tmp_path):
+    path = record(f"{tmp_path}/a.mlog", orders, chunk_size=64)
+    got = {(r["group"], r["record"]) for r in tables.summary_records(spark, path).collect()}
+    for table in {g for g, _ in got}:
+        rows = [r.asDict() for r in tables.read_table(spark, path, table).collect()]
+        kept = [json.loads(j) for g, j in got if g == table]
+        assert len(rows) == len(kept) and all(set(k) == {c for c, v in rows[0].items() if v is not None and c != "path"} for k in kept)
+    assert {"channels", "schemas", "statistics", "chunk_index"} <= {g for g, _ in got}
+
+
 def test_tables(spark, tmp_path):
     path = record(f"{tmp_path}/a.mlog", orders, chunk_size=64)
     read = lambda t, **o: [r.asDict() for r in tables.read_table(spark, path, t, **o).collect()]
