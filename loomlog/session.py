@@ -32,11 +32,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own setting, else (tests) a temporary one."""
+    """The shared folder for checkpoints: the cluster's own setting, else, only where master and executors are one process, a temporary one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="loomlog-checkpoint-"))
         current = sc.getCheckpointDir()
     return current

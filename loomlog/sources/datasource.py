@@ -1,23 +1,29 @@
 """The ``messagelog`` data source: tables of recordings as DataFrames, recordings as a sink, batch and streaming.
 
 A recording whose chunk indexes cover all its messages is read by groups of chunks, those outside the asked times and
-topics left out; any other recording is one partition. Rows leave as Arrow batches.
+topics left out; any other recording is one partition. Messages of chunks are decoded by columns (columnar.py), the rest
+row by row; all rows leave as Arrow batches.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import shutil
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomlog.sources import files, model
+from loomlog.sources import columnar, files, model
 from loomlog.sources import format as f
 from loomlog.sources import reading as r
 from loomlog.sources.errors import LogError
@@ -25,6 +31,12 @@ from loomlog.sources.writing import SAFE, RecordingWriter, WriterOptions
 
 NAME = "messagelog"
 BATCH_ROWS, BATCH_BYTES, GROUP_BYTES = 4096, 8 << 20, 16 << 20
+#: Beginnings of the names of the sink's side files: what each job wrote, and the rows that it put aside.
+REPORT, REJECTS = "_report-", "_rejects-"
+#: Columns of a message row that say which channel it belongs to.
+ABOUT = ("channel_id", "topic", "message_encoding", "schema_id", "schema_name", "schema_encoding", "schema_data")
+#: Recordings that the driver plans chunk by chunk; where there are more, each is a partition and plans itself.
+PLANNED = 512
 
 
 def _flag(options: dict, name: str, default: bool) -> bool:
@@ -120,6 +132,14 @@ def _u64(value: int, want: Want):
     return value
 
 
+def _times(values: np.ndarray, want: Want) -> pa.Array:
+    if want.u64 == "decimal":
+        return pa.array([_u64(x, want) for x in values.tolist()], type=pa.decimal128(20, 0))
+    if len(values) and values.max() >= np.uint64(1 << 63):
+        _u64(int(values.max()), want)
+    return pa.array(values.astype(np.int64))
+
+
 class LogReader(DataSourceReader):
     def __init__(self, schema, options: dict[str, str]):
         self.fields, self.want = schema, Want.of(options)
@@ -131,9 +151,14 @@ class LogReader(DataSourceReader):
 
     # -- planning ---------------------------------------------------------------------------------------------------
     def partitions(self) -> list[Part]:
-        return [p for path in files.expand(self.path) for p in self.plan(path)]
-
-    def plan(self, path: str) -> list[Part]:
+        """Up to PLANNED recordings are planned here, from their footers and summaries; more are planned in their tasks."""
+        paths = files.expand(self.path)
+        if len(paths) > PLANNED:
+            return [Part(path) for path in paths]
+        with ThreadPoolExecutor(min(16, max(1, len(paths)))) as pool:
+            return [p for parts in pool.map(self.plan, paths) for p in parts]
+
+    def plan(self, path: str, opened=None) -> list[Part]:
         """Groups of chunks for messages of an indexed recording, else the whole."""
         w = self.want
         if w.table != "messages" or w.mode == "recover" or w.access == "scan" or w.unknown_channels != "error":
@@ -143,7 +168,7 @@ class LogReader(DataSourceReader):
         linear = w.reading != r.ReaderOptions(record_limit=w.reading.record_limit, start_offset=w.reading.start_offset)
         if linear and w.access == "indexed":
             raise ValueError("indexed access excludes the checks of a linear scan")
-        with files.opened(path) as data:
+        with nullcontext(opened) if opened is not None else files.opened(path) as data:
             try:
                 summary = None if linear else r.read_summary(data, w.reading.start_offset, declarations=False)
                 usable = r.index_usable(data, summary, w.reading.start_offset)
@@ -176,11 +201,101 @@ class LogReader(DataSourceReader):
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark reads one empty partition where the plan has none
             return
-        batches = Batches(self.fields)
         with files.opened(partition.path) as data:
-            for row, size in getattr(self, f"_{self.want.table}")(partition, data):
-                yield from batches.add(row, size)
-        yield from batches.flush()
+            yield from self.batches(partition, data)
+
+    def batches(self, part: Part, data) -> Iterator[pa.RecordBatch]:
+        w = self.want
+        if w.table == "messages" and w.mode != "recover" and w.unknown_channels != "keep":
+            if part.chunks is None and w.access != "scan":
+                groups = self.plan(part.path, data)
+                if any(p.chunks is None for p in groups):
+                    yield from self._scanned(part, data)
+                for p in groups:
+                    if p.chunks is not None:
+                        yield from self._indexed(p, data)
+            elif part.chunks is not None:
+                yield from self._indexed(part, data)
+            else:
+                yield from self._scanned(part, data)
+            return
+        out = Batches(self.fields)
+        for row, size in getattr(self, f"_{w.table}")(part, data):
+            yield from out.add(row, size)
+        yield from out.flush()
+
+    def _indexed(self, part: Part, data) -> Iterator[pa.RecordBatch]:
+        """Messages of the part's chunks; the summary declares their channels."""
+        w = self.want
+        summary = r.read_summary(data, w.reading.start_offset, declarations=False)
+        indexes = {i.chunk_start_offset: i for i in summary.chunk_indexes}
+        for offset, number in part.chunks:
+            records = columnar.Records(f.expand(r.chunk_at(data, indexes[offset], w.reading.start_offset), False), w.reading.record_limit)
+            self._declared(records, slice(None), summary.channels)
+            yield from self._columns(part.path, number, offset, records, summary.channels)
+
+    def _scanned(self, part: Part, data) -> Iterator[pa.RecordBatch]:
+        """Messages in file order, every record checked; those of a chunk go by columns."""
+        w, rows, seen = self.want, Batches(self.fields), r.Seen()
+        for where in r.scan(data, w.reading, False):
+            if where.opcode == f.CHUNK:
+                records = columnar.Records(f.expand(f.parse(f.CHUNK, where.body), w.reading.chunk_crcs), w.reading.record_limit)
+                first = 0  # messages up to here have been checked
+                for i in np.flatnonzero(records.opcodes != f.MESSAGE).tolist():
+                    record, last = f.parse(int(records.opcodes[i]), records.body(i)), int(np.searchsorted(records.where, i))
+                    if not where.in_summary:
+                        self._declared(records, slice(first, last), seen.channels)
+                        seen.see(record)
+                    first = last
+                if not where.in_summary:
+                    self._declared(records, slice(first, None), seen.channels)
+                    yield from rows.flush()
+                    yield from self._columns(part.path, where.chunk, where.offset, records, seen.channels)
+            elif where.opcode == f.MESSAGE:
+                m = r.message_of(where.body)
+                if not where.in_summary and w.takes((c := seen.channel_of(m.channel_id, m.sequence)).topic, m.log_time):
+                    yield from rows.add(*self._message(part.path, -1, where.ordinal, m, c))
+            else:
+                record = f.parse(where.opcode, where.body)
+                if not where.in_summary:
+                    seen.see(record)
+        yield from rows.flush()
+
+    @staticmethod
+    def _declared(records: columnar.Records, some: slice, channels: dict[int, f.Channel]) -> None:
+        heads = records.heads[some]
+        if set(np.unique(heads["channel_id"]).tolist()) - channels.keys():
+            bad = next(h for h in heads if int(h["channel_id"]) not in channels)
+            raise LogError("UnknownChannel", sequence=int(bad["sequence"]), channel_id=int(bad["channel_id"]))
+
+    def _columns(self, path: str, chunk: int, offset: int, records: columnar.Records, channels: dict[int, f.Channel]) -> Iterator[pa.RecordBatch]:
+        """The wanted messages of a chunk as batches."""
+        w, h = self.want, records.heads
+        ids, own = np.unique(h["channel_id"], return_inverse=True)
+        about = [channels[i] for i in ids.tolist()]
+        mask = np.ones(len(h), dtype=bool)
+        if w.topics is not None:
+            mask &= np.array([c.topic in w.topics for c in about], dtype=bool)[own]
+        if w.start is not None and w.start > 0:
+            mask &= h["log_time"] >= np.uint64(w.start) if w.start < 1 << 64 else False
+        if w.end is not None and w.end < 1 << 64:
+            mask &= h["log_time"] < np.uint64(max(0, w.end))
+        chosen = np.flatnonzero(mask)
+        before = np.append(0, np.cumsum(records.sizes()[chosen] + columnar.HEAD.itemsize))
+        schema = to_arrow_schema(self.fields)
+        a = 0
+        while a < len(chosen):
+            b = max(a + 1, int(np.searchsorted(before, before[a] + BATCH_BYTES, "right")) - 1)
+            some = chosen[a:b]
+            head, mine = h[some], pa.array(own[some])
+            of = lambda name: pa.array([getattr(c, name) for c in about], type=schema.field(name).type).take(mine)
+            columns = {
+                "path": pa.repeat(pa.scalar(path, pa.string()), b - a), "chunk_ordinal": pa.repeat(pa.scalar(chunk, pa.int32()), b - a), "record_ordinal": pa.array((offset << 24) | records.where[some]),
+                "channel_id": pa.array(head["channel_id"].astype(np.int32)), "sequence": pa.array(head["sequence"].astype(np.int64)), "log_time": _times(head["log_time"], w), "publish_time": _times(head["publish_time"], w),
+                "topic": of("topic"), "message_encoding": of("message_encoding"), "schema_id": of("schema_id"), "data": records.payloads(some) if w.payload else pa.nulls(b - a, pa.binary()),
+            }
+            yield pa.RecordBatch.from_arrays([columns[x.name] for x in schema], schema=schema)
+            a = b
 
     def _message(self, path: str, chunk: int, ordinal: int, m: f.Message, c: f.Channel | None) -> tuple[tuple, int]:
         w = self.want
@@ -188,21 +303,8 @@ class LogReader(DataSourceReader):
         return (path, chunk, ordinal, m.channel_id, m.sequence, _u64(m.log_time, w), _u64(m.publish_time, w), *about, m.data if w.payload else None), len(m.data) if w.payload else 0
 
     def _messages(self, part: Part, data) -> Iterator[tuple[tuple, int]]:
+        """Row by row: the valid prefix, or all messages whether their channels are declared or not."""
         w = self.want
-        if part.chunks is not None:
-            summary = r.read_summary(data, w.reading.start_offset, declarations=False)
-            indexes = {i.chunk_start_offset: i for i in summary.chunk_indexes}
-            for offset, number in part.chunks:
-                records = f.expand(r.chunk_at(data, indexes[offset], w.reading.start_offset), False)
-                for i, (_, opcode, body) in enumerate(f.walk(records, w.reading.record_limit)):
-                    if opcode == f.MESSAGE:
-                        m = r.message_of(body)
-                        c = summary.channels.get(m.channel_id)
-                        if c is None:
-                            raise LogError("UnknownChannel", sequence=m.sequence, channel_id=m.channel_id)
-                        if w.takes(c.topic, m.log_time):
-                            yield self._message(part.path, number, (offset << 24) | i, m, c)
-            return
         if w.mode == "recover":
             for found in r.recover(data, w.reading.start_offset):
                 if isinstance(found, LogError):
@@ -211,23 +313,15 @@ class LogReader(DataSourceReader):
                 if w.takes(c.topic, m.log_time):
                     yield self._message(part.path, where.chunk, where.ordinal, m, c)
             return
-        if w.unknown_channels == "keep":
-            seen = r.Declarations()
-            for where in r.scan(data, w.reading):
-                if where.opcode == f.CHANNEL and not where.in_summary:
-                    record = f.parse(f.CHANNEL, where.body)
-                    seen.channels.setdefault(record.id, record)
-                elif where.opcode == f.MESSAGE:
-                    m = r.message_of(where.body)
-                    c = seen.channels.get(m.channel_id)
-                    if w.takes(c.topic if c else None, m.log_time):
-                        yield self._message(part.path, where.chunk, where.ordinal, m, c)
-            return
-        for where, _, seen in r.checked_scan(data, w.reading):
-            if where.opcode == f.MESSAGE and not where.in_summary:
+        seen = r.Seen()
+        for where in r.scan(data, w.reading):
+            if where.opcode == f.CHANNEL and not where.in_summary:
+                record = f.parse(f.CHANNEL, where.body)
+                seen.channels.setdefault(record.id, record)
+            elif where.opcode == f.MESSAGE:
                 m = r.message_of(where.body)
-                c = seen.channel_of(m.channel_id, m.sequence)
-                if w.takes(c.topic, m.log_time):
+                c = seen.channels.get(m.channel_id)
+                if w.takes(c.topic if c else None, m.log_time):
                     yield self._message(part.path, where.chunk, where.ordinal, m, c)
 
     def _typed(self, part: Part, data, kind: type) -> Iterator[tuple[r.Located, tuple]]:
@@ -239,6 +333,11 @@ class LogReader(DataSourceReader):
                     raise LogError("BadIndex", "an index points to something else")
                 yield r.Located(offset, -1, 0, opcode, memoryview(body), False), f.parse(opcode, body)
             return
+        if w.unknown_channels == "keep":  # the records alone, without the checks of references
+            for where in r.scan(data, w.reading):
+                if where.opcode in f.LAYOUTS and f.LAYOUTS[where.opcode][0] is kind and not where.in_summary:
+                    yield where, f.parse(where.opcode, where.body)
+            return
         for where, record, _ in r.checked_scan(data, w.reading):
             if isinstance(record, kind) and not where.in_summary:
                 yield where, record
@@ -371,46 +470,72 @@ class PushingReader(LogReader):
 # -- sink ---------------------------------------------------------------------------------------------------------------
 @dataclass
 class Written(WriterCommitMessage):
+    """A finished recording of a task, its rows, its statistics and where its rejected rows are."""
+
     temporary: str
     name: str
-    statistics: tuple
+    rows: int
+    statistics: dict
     rejected: int
+    rejects: str | None
 
 
 class RowWriter:
     """Rows of the sink's schema into a recording; declarations come before their first use."""
 
     def __init__(self, out, options: WriterOptions, policy: str):
-        self.writer, self.policy, self.rejected = RecordingWriter(out, options), policy.upper(), 0
+        self.writer, self.policy, self.rows = RecordingWriter(out, options), policy.upper(), 0
         if self.policy not in ("FAILFAST", "QUARANTINE"):
             raise ValueError("badRows is FAILFAST or QUARANTINE")
         self.known: dict[tuple, int] = {}
         self.plain: dict[tuple, int] = {}
         self.last: dict[int, int] = {}
+        self.rejects: list[tuple[int, str, dict]] = []
 
     def put_all(self, batch: pa.RecordBatch) -> None:
-        """A batch of rows; plain messages go column by column, without a dictionary for each."""
-        n = batch.num_rows
+        """A batch of rows; plain messages go column by column, all else row by row."""
         columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        used = {name for name, c in columns.items() if c.null_count < n}
-        if self.policy == "FAILFAST" and not used & {"kind", "schema_name", "channel_metadata"}:
-            names = ("channel_id", "topic", "message_encoding", "schema_id", "sequence", "log_time", "publish_time", "data")
-            for row in zip(*(columns[x].to_pylist() if x in used else [None] * n for x in names)):
-                self._message(row[:4], *row[4:])
-        else:
+        if not self._plain(columns, batch.num_rows):
             for row in batch.to_pylist():
                 self.put(row)
+                self.rows += 1
+        else:
+            self.rows += batch.num_rows
 
-    def _message(self, about: tuple, sequence, log_time, publish_time, data) -> None:
-        channel = self.plain.get(about)
-        if channel is None:
-            channel = self.plain[about] = self._channel(dict(zip(("channel_id", "topic", "message_encoding", "schema_id"), about)))
-        if log_time is None:
-            raise ValueError("a message needs a log_time")
-        if sequence is None:
-            sequence = self.last.get(channel, -1) + 1
-        self.last[channel] = sequence
-        self.writer.write(channel, sequence, log_time, log_time if publish_time is None else publish_time, data or b"")
+    def _plain(self, columns: dict[str, pa.Array], n: int) -> bool:
+        """Writes the batch and tells so if all its rows are messages that can't be rejected."""
+        used = {name for name, c in columns.items() if c.null_count < n}
+        if not n or self.writer.part is not None or used & {"kind", "channel_metadata"} or not {"topic", "log_time"} <= used or columns["topic"].null_count or columns["log_time"].null_count:
+            return False
+        none = pa.nulls(n, pa.int64())
+        sequence, publish = columns["sequence"] if "sequence" in used else none, columns["publish_time"] if "publish_time" in used else none
+        log_time = columns["log_time"].to_numpy(zero_copy_only=False)
+        published = pc.coalesce(publish, columns["log_time"]).to_numpy(zero_copy_only=False)
+        if sequence.null_count not in (0, n) or log_time.min() < 0 or published.min() < 0:
+            return False
+        if not sequence.null_count and not 0 <= (values := sequence.to_numpy(zero_copy_only=False)).min() <= values.max() < 1 << 32:
+            return False
+        # Each combination of a channel's columns is registered once.
+        names = [x for x in ABOUT if x in used]
+        table = pa.table([columns[x] for x in names], names=names).group_by(names).aggregate([]).to_pylist()
+        try:
+            ids = {tuple(row.get(x) for x in names): self._channel(row) for row in table}
+        except (LogError, ValueError):
+            return False  # row by row it is clear which rows came before
+        if len(ids) == 1:
+            channel = np.full(n, next(iter(ids.values())), np.int64)
+        else:
+            channel = np.array([ids[k] for k in zip(*(columns[x].to_pylist() for x in names))], np.int64)
+        if sequence.null_count:
+            values = np.empty(n, np.int64)
+            for c in np.unique(channel).tolist():
+                mine = np.flatnonzero(channel == c)
+                values[mine] = self.last.get(c, -1) + 1 + np.arange(len(mine))
+        for c in np.unique(channel).tolist():
+            self.last[c] = int(values[np.flatnonzero(channel == c)[-1]])
+        data = pc.fill_null(columns["data"], b"") if "data" in used else pa.array([b""] * n, type=pa.binary())
+        self.writer.write_encoded(channel, log_time, *columnar.encoded(channel, values, log_time, published, data))
+        return True
 
     def put(self, row: dict) -> None:
         try:
@@ -418,7 +543,7 @@ class RowWriter:
         except (LogError, ValueError) as e:
             if self.policy == "FAILFAST" or isinstance(e, LogError) and e.kind not in SAFE and e.kind != "PrivateRecordOpcodeIsReserved":
                 raise
-            self.rejected += 1
+            self.rejects.append((self.rows, e.kind if isinstance(e, LogError) else str(e), row))
 
     def _put(self, row: dict) -> None:
         w, kind, get = self.writer, row.get("kind") or "message", row.get
@@ -427,7 +552,15 @@ class RowWriter:
         elif kind == "metadata":
             w.write_metadata(get("name") or "", dict(get("values") or {}))
         elif kind == "private":
-            w.write_private(get("opcode"), get("data") or b"")
+            w.write_private(get("opcode"), get("data") or b"", bool(get("in_chunks")))
+        elif kind == "attachment_start":
+            if get("length") is None:
+                raise ValueError("an attachment in parts needs its length")
+            w.start_attachment(get("name") or "", get("media_type") or "", get("length"), get("log_time") or 0, get("create_time") or 0)
+        elif kind == "attachment_part":
+            w.put_attachment(get("data") or b"")
+        elif kind == "attachment_finish":
+            w.finish_attachment()
         elif kind == "schema":
             w.register_schema(get("schema_name") or "", get("schema_encoding") or "", get("schema_data") or b"", get("schema_id"))
         elif kind in ("channel", "message"):
@@ -493,20 +626,35 @@ class LogWriter(DataSourceArrowWriter):
             if self.sync:
                 out.flush()
                 os.fsync(out.fileno())
-        return Written(temporary, name, tuple(summary.statistics[:8]), rows.rejected)
-
-    def _place(self, message: Written) -> None:
-        target = os.path.join(self.path, message.name)
-        os.link(message.temporary, target)  # fails if the name exists: a recording is never replaced
+        rejects = f"{temporary}.rejects" if rows.rejects else None
+        if rejects:
+            with open(rejects, "x") as out:
+                for number, reason, row in rows.rejects:
+                    out.write(json.dumps({"recording": name, "row_number": number, "reason": reason, "row": json.dumps({k: v.hex() if isinstance(v, bytes) else v for k, v in row.items() if v is not None}, default=str)}) + "\n")
+        statistics = {k: {str(c): n for c, n in v.items()} if isinstance(v, dict) else v for k, v in summary.statistics._asdict().items()}
+        return Written(temporary, name, rows.rows, statistics, len(rows.rejects), rejects)
+
+    def _place(self, temporary: str, name: str) -> None:
+        # The link fails if the name exists: a recording is never replaced.
+        os.link(temporary, os.path.join(self.path, name))
 
     def commit(self, messages: list[Written | None]) -> None:
-        if self.overwrite:
-            for name in os.listdir(self.path):
-                if name.endswith(files.SUFFIX):
-                    os.unlink(os.path.join(self.path, name))
-        for m in messages:
-            if m is not None and any(m.statistics):
-                self._place(m)
+        """Places the recordings of all tasks that got rows, or a single empty one if none did; then their report.
+
+        With overwrite the old files go last: what stops in between leaves both, never neither.
+        """
+        old = [n for n in os.listdir(self.path) if n.endswith(files.SUFFIX) or n.startswith((REPORT, REJECTS))] if self.overwrite else []
+        done = [m for m in messages if m is not None]
+        for m in [m for m in done if m.rows] or done[:1]:
+            self._place(m.temporary, m.name)
+            if m.rejects:
+                self._place(m.rejects, f"{REJECTS}{m.name}.jsonl")
+        with open(os.path.join(self.staging, "report"), "x") as out:
+            for m in done:
+                out.write(json.dumps({"job": self.job, "recording": m.name, "rows": m.rows, "rejected": m.rejected, "statistics": m.statistics}) + "\n")
+        self._place(os.path.join(self.staging, "report"), f"{REPORT}{self.job}.jsonl")
+        for n in old:
+            os.unlink(os.path.join(self.path, n))
         self._clean()
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -530,43 +678,54 @@ class LogStreamWriter(DataSourceStreamArrowWriter):
         return self.inner.write(iterator)
 
     def commit(self, messages: list[Written | None], batchId: int) -> None:
+        """Recordings of the tasks that got rows; a batch without rows leaves nothing."""
         for k, m in enumerate(messages):
-            if m is not None and any(m.statistics):
-                target = os.path.join(self.inner.path, f"batch-{batchId:08d}-{k:05d}{files.SUFFIX}")
-                if not os.path.exists(target):
-                    os.link(m.temporary, target)
-                os.unlink(m.temporary)
+            if m is None:
+                continue
+            if m.rows:
+                name = f"batch-{batchId:08d}-{k:05d}{files.SUFFIX}"
+                for source, target in ((m.temporary, name), *(((m.rejects, f"{REJECTS}{name}.jsonl"),) if m.rejects else ())):
+                    if not os.path.exists(os.path.join(self.inner.path, target)):
+                        self.inner._place(source, target)
+            self._drop(m)
+
+    @staticmethod
+    def _drop(m: Written) -> None:
+        for path in (m.temporary, m.rejects):
+            if path and os.path.exists(path):
+                os.unlink(path)
 
     def abort(self, messages: list[Written | None], batchId: int) -> None:
         for m in messages:
-            if m is not None and os.path.exists(m.temporary):
-                os.unlink(m.temporary)
+            if m is not None:
+                self._drop(m)
 
 
 # -- stream -------------------------------------------------------------------------------------------------------------
 class LogStreamReader(DataSourceStreamReader):
-    """Completed recordings of a folder, in order of their last change; the offset is the last file taken."""
+    """Completed recordings of a folder. The offset is the set of those taken (12 characters each), since neither names
+    nor times of change tell what is new: a recording may appear with an earlier time than one already read. Files that
+    are gone leave the offset too, so a folder that is emptied from time to time keeps it short."""
 
     def __init__(self, schema, options: dict[str, str]):
         self.reader = LogReader(schema, {**options, "access": "scan"})
 
-    def _files(self) -> list[tuple[int, str]]:
+    def _files(self) -> dict[str, str]:
         try:
             found = files.expand(self.reader.path)
         except FileNotFoundError:
-            return []
-        return sorted((files.modified(p)[0], p) for p in found if p.endswith(files.SUFFIX))
+            return {}
+        return {hashlib.sha256(os.path.basename(p).encode()).hexdigest()[:12]: p for p in found if p.endswith(files.SUFFIX)}
 
     def initialOffset(self) -> dict:
-        return {"time": -1, "path": ""}
+        return {"taken": ""}
 
     def latestOffset(self) -> dict:
-        found = self._files()
-        return {"time": found[-1][0], "path": found[-1][1]} if found else self.initialOffset()
+        return {"taken": ",".join(sorted(self._files()))}
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
-        low, high = ((o["time"], o["path"]) for o in (start, end))
-        return [Part(p) for t, p in self._files() if low < (t, p) <= high]
+        old, new = (set(o["taken"].split(",")) for o in (start, end))
+        return [Part(p) for k, p in sorted(self._files().items(), key=lambda x: x[1]) if k in new - old]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         yield from self.reader.read(partition)

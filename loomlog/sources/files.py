@@ -45,20 +45,15 @@ def expand(path: str) -> list[str]:
     return found
 
 
-def opened(path: str) -> BinaryIO:
+def side_files(path: str, prefix: str) -> list[str]:
+    """Files of a local or mounted folder that begin with a prefix, in name order."""
     here = local(path)
-    if here is None:
-        store, inner = _remote(path)
-        return store.open_input_file(inner)
-    return open(here, "rb")
+    return sorted(os.path.join(here, n) for n in os.listdir(here) if n.startswith(prefix)) if here and os.path.isdir(here) else []
 
 
-def modified(path: str) -> tuple[int, int]:
-    """Time of the last change in ns, and size."""
+def opened(path: str) -> BinaryIO:
     here = local(path)
     if here is None:
         store, inner = _remote(path)
-        info = store.get_file_info(inner)
-        return int(info.mtime_ns or 0), int(info.size or 0)
-    s = os.stat(here)
-    return s.st_mtime_ns, s.st_size
+        return store.open_input_file(inner)
+    return open(here, "rb")

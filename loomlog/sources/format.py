@@ -11,6 +11,7 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 
 from loomlog.sources.errors import LogError
@@ -248,7 +249,7 @@ def _encode(kind: str, value) -> bytes:
     if kind == "n":
         return _collection([_ENTRY.pack(k, v) for k, v in sorted(value.items())])
     if kind == "p":
-        return _collection([_PAIR.pack(*e) for e in value])
+        return _collection([np.array(value, dtype="<u8").tobytes()])
     if kind == "r":
         return value
     return _NUMBER["i" if kind == "B" else "q"].pack(len(value)) + value

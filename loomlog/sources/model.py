@@ -48,6 +48,6 @@ def schema_of(table: str, u64: str = "long") -> T.StructType:
 SINK = T.StructType(
     [T.StructField(n, t) for n, t in (
         ("kind", _S), ("channel_id", _I), ("topic", _S), ("message_encoding", _S), ("schema_id", _I), ("schema_name", _S), ("schema_encoding", _S), ("schema_data", _B), ("channel_metadata", _M),
-        ("sequence", _L), ("log_time", _L), ("publish_time", _L), ("data", _B), ("name", _S), ("media_type", _S), ("create_time", _L), ("values", _M), ("opcode", _I),
+        ("sequence", _L), ("log_time", _L), ("publish_time", _L), ("data", _B), ("name", _S), ("media_type", _S), ("create_time", _L), ("values", _M), ("opcode", _I), ("length", _L), ("in_chunks", T.BooleanType()),
     )]
 )

@@ -33,7 +33,7 @@ class ReaderOptions:
 
 
 @dataclass
-class Declarations:
+class Seen:
     """What the data section has declared so far, checked as it goes."""
 
     schemas: dict[int, f.Schema] = field(default_factory=dict)
@@ -126,9 +126,9 @@ def scan(data: BinaryIO, options: ReaderOptions = ReaderOptions(), expand: bool
             return
 
 
-def checked_scan(data: BinaryIO, options: ReaderOptions = ReaderOptions()) -> Iterator[tuple[Located, tuple | None, Declarations]]:
+def checked_scan(data: BinaryIO, options: ReaderOptions = ReaderOptions()) -> Iterator[tuple[Located, tuple | None, Seen]]:
     """The expanded scan with bodies parsed and references checked against the data section alone."""
-    seen = Declarations()
+    seen = Seen()
     for where in scan(data, options):
         if where.opcode == f.MESSAGE:
             if len(where.body) < _U16U32U64U64.size:
@@ -206,23 +206,33 @@ def index_usable(data: BinaryIO, summary: Summary | None, start: int = 0) -> boo
         return False
     if any(c.schema_id and c.schema_id not in summary.schemas for c in summary.channels.values()):
         return False
-    chunks, at = {}, len(f.MAGIC)
-    while True:
+    return _tiled(data, read_footer(data, start).summary_start, summary, start)
+
+
+def _tiled(data: BinaryIO, end: int, summary: Summary, start: int) -> bool:
+    """Whether the indexed records leave no message beside them. Only what no index names is read, record by record."""
+    spans = [(i.chunk_start_offset, i.chunk_length + i.message_index_length) for i in summary.chunk_indexes]
+    spans = sorted(spans + [(i.offset, i.length) for i in (*summary.attachment_indexes, *summary.metadata_indexes)])
+    at, k = len(f.MAGIC), 0
+    while at < end:
+        if k < len(spans) and spans[k][0] <= at:
+            if spans[k][0] < at:
+                raise LogError("BadIndex", "an index points into another record")
+            at += spans[k][1]
+            k += 1
+            continue
         data.seek(start + at)
         opcode, n = f._PREFIX.unpack(_exactly(data, f.PREFIX))
         if opcode == f.MESSAGE:
             return False
         if opcode == f.CHUNK:
-            chunks[at] = f.PREFIX + n
-        if opcode == f.FOOTER:
+            raise LogError("BadIndex", "a chunk index points to something else")
+        if opcode in (f.DATA_END, f.FOOTER):
             break
         at += f.PREFIX + n
-    if len(chunks) != len(summary.chunk_indexes):
-        return False
-    for index in summary.chunk_indexes:
-        if chunks.pop(index.chunk_start_offset, None) != index.chunk_length:
-            raise LogError("BadIndex", "a chunk index points to something else")
-    return not chunks
+    if k < len(spans):
+        raise LogError("BadIndex", "an index points beyond the data")
+    return True
 
 
 def record_at(data: BinaryIO, offset: int, start: int = 0, limit: int | None = None) -> tuple[int, bytes]:

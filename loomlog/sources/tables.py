@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from loomlog.session import ship
 from loomlog.sources import datasource, model
 from loomlog.sources import format as f
-from loomlog.sources import reading as r
 
 
 def register(spark: SparkSession) -> None:
@@ -24,6 +23,9 @@ def register(spark: SparkSession) -> None:
 def read_table(spark: SparkSession, path: str, table: str = "messages", **options) -> DataFrame:
     """Any table of the recordings under a path; options as the source names them."""
     register(spark)
+    if str(options.get("pushdown")).lower() == "true":
+        # Without this setting Spark refuses a reader that takes filters; it changes nothing for other sources.
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format(datasource.NAME).options(table=table, **{k: v if isinstance(v, str) else json.dumps(v) for k, v in options.items() if v is not None}).load(path)
 
 
@@ -65,21 +67,43 @@ def summary_records(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """What the sink's jobs left under a path: recording, rows, rejected rows, and statistics even where none are stored."""
+    counts = "message_count long, schema_count long, channel_count long, attachment_count long, metadata_count long, chunk_count long, message_start_time long, message_end_time long, channel_message_counts map<string,long>"
+    return _side_files(spark, path, datasource.REPORT, f"job string, recording string, rows long, rejected long, statistics struct<{', '.join(c.replace(' ', ':', 1) for c in counts.split(', '))}>")
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that badRows=QUARANTINE put aside: the recording, the row's number in its task, why, and the row as JSON (bytes as hex)."""
+    return _side_files(spark, path, datasource.REJECTS, "recording string, row_number long, reason string, row string")
+
+
+def _side_files(spark: SparkSession, path: str, prefix: str, schema: str) -> DataFrame:
+    # Spark passes over names that begin with a mark, so the files are listed here and read as text.
+    from loomlog.sources import files
+
+    names = files.side_files(path, prefix)
+    lines = spark.createDataFrame([(n,) for n in names], "file string").repartition(max(1, min(len(names), 200)))
+
+    def content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with files.opened(name) as data:
+                    yield pa.RecordBatch.from_arrays([pa.array(data.read().decode("utf-8").splitlines(), type=pa.string())], names=["value"])
+
+    ship(spark)
+    return lines.mapInArrow(content, "value string").select(F.from_json("value", schema).alias("x")).select("x.*")
+
+
 # -- bytes that only Spark can read ---------------------------------------------------------------------------------------
 def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """binaryFile rows (path, content) -> messages."""
     import io
 
-    out = datasource.Batches(model.schema_of("messages"))
-    want = datasource.Want()
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-            for where, _, seen in r.checked_scan(io.BytesIO(content.as_buffer())):
-                if where.opcode == f.MESSAGE and not where.in_summary:
-                    m = r.message_of(where.body)
-                    c = seen.channels[m.channel_id]
-                    yield from out.add((path, where.chunk, where.ordinal, m.channel_id, m.sequence, datasource._u64(m.log_time, want), datasource._u64(m.publish_time, want), c.topic, c.message_encoding, c.schema_id, m.data), len(m.data))
-    yield from out.flush()
+            reader = datasource.LogReader(model.schema_of("messages"), {"path": path, "access": "scan"})
+            yield from reader.batches(datasource.Part(path), io.BytesIO(content.as_buffer()))
 
 
 def read_binary(spark: SparkSession, path: str, pattern: str = "*.mlog") -> DataFrame:

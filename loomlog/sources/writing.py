@@ -9,6 +9,8 @@ from collections.abc import Iterable
 from dataclasses import dataclass, fields, replace
 from typing import BinaryIO
 
+import numpy as np
+
 from loomlog.sources import format as f
 from loomlog.sources.errors import LogError
 
@@ -231,6 +233,36 @@ class RecordingWriter:
         self.counts[channel_id] = self.counts.get(channel_id, 0) + 1
         self._chunk_full()
 
+    def write_encoded(self, channel_id: np.ndarray, log_time: np.ndarray, records: np.ndarray, at: np.ndarray) -> None:
+        """Encoded messages of declared channels, with the offsets of the records; chunks end where single writes end them."""
+        self._ready()
+        for c, n in zip(*(x.tolist() for x in np.unique(channel_id, return_counts=True))):
+            self.counts[c] = self.counts.get(c, 0) + n
+        if len(log_time):
+            low, high = int(log_time.min()), int(log_time.max())
+            a, b = self.times or (low, high)
+            self.times = (min(a, low), max(b, high))
+        if not self.options.use_chunks:
+            self._raw(records.tobytes())
+            return
+        i, n, size = 0, len(log_time), self.options.chunk_size
+        while i < n:
+            if self.chunk is None:
+                self._record(b"")
+            base = self.chunk.tell() - int(at[i])
+            # A chunk ends with the record that takes it beyond its size.
+            j = n if size is None else min(n, int(np.searchsorted(at[i + 1 :], size - base, "right")) + i + 1)
+            own = channel_id[i:j]
+            for c in np.unique(own).tolist():
+                mine = np.flatnonzero(own == c) + i
+                self.chunk_index.setdefault(c, []).extend(zip(log_time[mine].tolist(), (at[mine] + base).tolist()))
+            low, high = int(log_time[i:j].min()), int(log_time[i:j].max())
+            a, b = self.chunk_times or (low, high)
+            self.chunk_times = (min(a, low), max(b, high))
+            self.chunk.write(records[at[i] : at[j]].data)
+            self._chunk_full()
+            i = j
+
     def write_attachment(self, name: str, media_type: str, data: bytes, log_time: int = 0, create_time: int = 0) -> None:
         self.start_attachment(name, media_type, len(data), log_time, create_time)
         self.put_attachment(data)

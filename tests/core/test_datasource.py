@@ -85,11 +85,12 @@ def test_tables(spark, tmp_path):
     assert [r["data"] for r in read("messages", payload="false")] == [None] * 4
     own = tables.channels(spark, path).collect()
     assert [(r["id"], r["schema_name"]) for r in own] == [(7, "s")]
-    assert [r["data"] for r in lookup.read_indexed(spark, path, "attachments", tables.read_table(spark, path, "attachment_index")).collect()] == [b"data"]
+    assert [r["data"] for r in lookup.read_indexed(tables.read_table(spark, path, "attachment_index"), "attachments").collect()] == [b"data"]
     with pytest.raises(Exception, match="BadIndex"):
-        lookup.read_indexed(spark, path, "metadata", tables.read_table(spark, path, "attachment_index")).collect()
+        lookup.read_indexed(tables.read_table(spark, path, "attachment_index"), "metadata").collect()
     chunks = tables.read_table(spark, path, "chunks")
-    assert tables.expanded(chunks).where("opcode = 5").count() == 4 and integrity.crc_report(spark, path).where("bytes != uncompressed_size").count() == 0
+    assert tables.expanded(chunks).where("opcode = 5").count() == 4 and sorted((x["kind"], x["ok"], x["messages"]) for x in integrity.crc_report(spark, path).collect() if x["kind"] == "attachment" or x["messages"] == 4) == [("attachment", True, 0)]
+    assert integrity.crc_report(spark, path).where("not ok").count() == 0 and integrity.crc_report(spark, path).agg({"messages": "sum"}).first()[0] == 4
     assert [r["group"] for r in tables.summary_records(spark, path).orderBy("group_order").collect()][:2] == ["channels", "schemas"]
     assert tables.read_binary(spark, str(tmp_path)).count() == 4
     counts = index.channel_count_map(tables.read_table(spark, path)).collect()[0]["channel_message_counts"]
@@ -104,13 +105,15 @@ def test_seeks(spark, tmp_path):
 
     path = record(f"{tmp_path}/a.mlog", build, chunk_size=1024)
     places = [(r["chunk_start_offset"], r["offset"]) for r in tables.read_table(spark, path, "message_index").orderBy("log_time").collect()]
-    requests = [places[i % 3 == 2] for i in range(8201)]
-    got = lookup.seek_messages(spark, path, requests)
-    assert [m.sequence for _, m in got] == [int(i % 3 == 2) for i in range(8201)]
-    with pytest.raises(LogError):
-        lookup.seek_messages(spark, path, [(places[0][0], 3)])
+    ask = lambda rows: spark.createDataFrame([(k, path, *x) for k, x in enumerate(rows)], "req_no int, path string, chunk_start_offset long, offset long")
+    got = lookup.grouped_seek(ask([places[i % 3 == 2] for i in range(8201)])).collect()
+    assert [(m["req_no"], m["sequence"], len(m["data"])) for m in got] == [(i, int(i % 3 == 2), 70_000) for i in range(8201)]
+    with pytest.raises(Exception, match="BadIndex"):
+        lookup.grouped_seek(ask([places[0], (places[0][0], 3)])).collect()
+    with pytest.raises(Exception, match="BadIndex"):
+        lookup.seek_messages(ask([(1, 0)])).collect()
     with pytest.raises(ValueError):
-        lookup.seek_messages(spark, path, [])
+        lookup.grouped_seek(ask([]).limit(0) if False else ask([places[0]]).where("req_no < 0"))
 
 
 def test_unsigned_times(spark, tmp_path):
@@ -158,8 +161,8 @@ def test_unknown_channels_and_references(spark, tmp_path):
     m = tables.read_table(spark, path)
     channels = tables.read_table(spark, path, "channels")
     assert lookup.used_before_declared(m, channels.withColumnRenamed("id", "channel_id").drop("topic", "schema_id", "message_encoding", "metadata"), ["path", "channel_id"]).drop("x").count() == 0
-    with pytest.raises(LogError):
-        lookup.resolve(m, channels.where("id != 7"), tables.schemas(spark, path), ["path"])
+    with pytest.raises(Exception, match="UnknownChannel"):
+        lookup.resolve(m, channels.where("id != 7"), tables.schemas(spark, path), ["path"]).select("sequence").collect()
     assert lookup.resolve(m, channels, tables.schemas(spark, path), ["path"]).where("schema_name = 's'").count() == 4
 
 
@@ -172,7 +175,8 @@ def test_sink(spark, tmp_path, codec):
     got = read_messages(spark, path)
     assert [(r["topic"], r["sequence"], r["log_time"], r["publish_time"], r["data"]) for r in got.collect()] == [(t, s, x, x, d) for t, s, x, d, _ in rows]
     assert integrity.validate(spark, path) and not os.path.exists(f"{path}/_temporary")
-    assert len(os.listdir(path)) == 3
+    assert len([n for n in os.listdir(path) if n.endswith(".mlog")]) == 3
+    assert tables.written(spark, path).selectExpr("sum(rows)", "sum(statistics.message_count)", "sum(rejected)").first() == (500, 500, 0)
     tables.write_recordings(df.limit(10), path, compression=codec)
     assert tables.read_table(spark, path).count() == 510
     tables.write_recordings(df.limit(10), path, mode="overwrite")
@@ -184,20 +188,35 @@ def test_plain_messages_equal_single_rows():
 
     import pyarrow as pa
 
+    from loomlog.sources import format as f
     from loomlog.sources import reading as r
     from loomlog.sources.datasource import RowWriter
 
     rows = [{"channel_id": None if i % 3 else 7, "topic": "/a" if i % 3 else "/b", "message_encoding": None, "schema_id": None, "sequence": None if i % 2 else 2 * i, "log_time": 50 - i, "publish_time": None if i % 5 else i, "data": None if i % 7 == 0 else b"x" * i} for i in range(40)]
     kinds = dict(zip(rows[0], (pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())))
     batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], type=t) for k, t in kinds.items()], names=list(kinds))
-    found = []
-    for policy in ("FAILFAST", "QUARANTINE"):
-        out = io.BytesIO()
-        writer = RowWriter(out, WriterOptions(chunk_size=64), policy)
-        writer.put_all(batch)
-        writer.writer.complete()
-        found.append([(bytes(x.body), x.opcode) for x in r.scan(out, r.ReaderOptions.strict())])
-    assert found[0] == found[1] and sum(op == 5 for _, op in found[0]) == 40
+    for size in (64, 1000, None):
+        for drop in ((), ("sequence",), ("publish_time", "data", "channel_id"), ("channel_id",)):
+            own = batch.drop_columns(list(drop)) if drop else batch
+            own = own.set_column(own.schema.names.index("sequence"), "sequence", pa.array([3 * i for i in range(40)])) if "sequence" not in drop else own
+            found = []
+            for one_by_one in (False, True):
+                out = io.BytesIO()
+                writer = RowWriter(out, WriterOptions(chunk_size=size), "FAILFAST")
+                if one_by_one:
+                    for row in own.to_pylist():
+                        writer.put(row)
+                else:
+                    assert writer._plain({n: own.column(i) for i, n in enumerate(own.schema.names)}, 40)
+                summary = writer.writer.complete()
+                messages = [bytes(x.body) for x in r.scan(out, r.ReaderOptions.strict()) if x.opcode == 5]
+                found.append((messages, summary.statistics.message_count, summary.statistics.message_start_time, summary.statistics.channel_message_counts, r.index_usable(out, summary)))
+                for index in summary.chunk_indexes:
+                    data = f.expand(r.chunk_at(out, index))
+                    entries = sorted((c, t, o) for c, at in index.message_index_offsets.items() for t, o in f.parse(*r.record_at(out, at)).entries)
+                    assert entries == sorted(f.indexed_records(data)) and index.start_time == min(t for _, t, _ in entries)
+            assert found[0] == found[1] and found[0][1] == 40
+    assert not RowWriter(io.BytesIO(), WriterOptions(), "FAILFAST")._plain({n: batch.column(i) for i, n in enumerate(batch.schema.names)}, 40)
 
 
 def test_sink_of_all_kinds_and_bad_rows(spark, tmp_path):
@@ -219,6 +238,61 @@ def test_sink_of_all_kinds_and_bad_rows(spark, tmp_path):
     s = tables.read_table(spark, path, "statistics").collect()[0]
     assert (s["message_count"], s["attachment_count"], s["metadata_count"], s["schema_count"]) == (1, 1, 1, 1)
     assert tables.read_table(spark, path, "records").where("opcode = 200").count() == 1
+    bad = tables.rejected(spark, path).orderBy("row_number").collect()
+    assert [(x["row_number"], x["reason"]) for x in bad] == [(2, "UnknownChannel"), (3, "a message needs a log_time")] and json.loads(bad[0]["row"])["data"] == b"unknown channel".hex()
+    assert tables.written(spark, path).selectExpr("rows", "rejected").collect() == [(7, 2)]
+
+
+def test_sink_keeps_recordings_without_messages(spark, tmp_path):
+    private = spark.createDataFrame([("private", 200, b"p%d" % i, i % 2 == 0) for i in range(6)], "kind string, opcode int, data binary, in_chunks boolean").repartition(2)
+    tables.write_recordings(private, f"{tmp_path}/private")
+    got = tables.read_table(spark, f"{tmp_path}/private", "records").where("opcode = 200").collect()
+    assert sorted((x["body"], x["chunk_ordinal"] >= 0) for x in got) == sorted((b"p%d" % i, i % 2 == 0) for i in range(6))
+    for k, empty in enumerate((private.where("opcode = 1"), private.limit(0))):
+        tables.write_recordings(empty, f"{tmp_path}/empty{k}")
+        assert tables.read_table(spark, f"{tmp_path}/empty{k}", "statistics").collect()[0]["message_count"] == 0
+
+
+def test_attachments_in_parts(spark, tmp_path):
+    rows = [("attachment_start", "a", None, 5), ("attachment_part", None, b"ab", None), ("attachment_part", None, b"cde", None), ("attachment_finish", None, None, None), ("metadata", "m", None, None)]
+    schema = "kind string, name string, data binary, length long"
+    tables.write_recordings(spark.createDataFrame(rows, schema).coalesce(1), f"{tmp_path}/a")
+    assert [x["data"] for x in tables.read_table(spark, f"{tmp_path}/a", "attachments").collect()] == [b"abcde"]
+    with pytest.raises(Exception, match="AttachmentIncomplete"):
+        tables.write_recordings(spark.createDataFrame([rows[0], rows[1], rows[3]], schema).coalesce(1), f"{tmp_path}/b")
+    with pytest.raises(Exception, match="an attachment is in progress"):
+        tables.write_recordings(spark.createDataFrame([rows[0], rows[4]], schema).coalesce(1), f"{tmp_path}/c")
+
+
+def test_overwrite_places_before_it_removes(spark, tmp_path, monkeypatch):
+    from loomlog.sources.datasource import LogWriter, Written
+
+    path = record(f"{tmp_path}/a.mlog", orders)
+    writer = LogWriter({"path": str(tmp_path)}, True)
+    with open(f"{writer.staging}/x", "xb") as out:
+        out.write(b"new")
+    done = Written(f"{writer.staging}/x", "b.mlog", 1, {}, 0, None)
+    monkeypatch.setattr(LogWriter, "_place", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        writer.commit([done])
+    assert os.path.exists(path)
+    monkeypatch.undo()
+    writer.commit([done])
+    assert [n for n in os.listdir(tmp_path) if n.endswith(".mlog")] == ["b.mlog"]
+
+
+def test_many_recordings_plan_themselves(spark, tmp_path, monkeypatch):
+    from loomlog.sources import datasource
+    from loomlog.sources.model import schema_of
+
+    for k in range(3):
+        record(f"{tmp_path}/{k}.mlog", orders, chunk_size=64, use_chunks=k != 1)
+    rows = lambda o: sorted((x["path"][-6:], x["record_ordinal"], x["log_time"], x["chunk_ordinal"]) for p in datasource.LogReader(schema_of("messages"), {"path": str(tmp_path), **o}).partitions() for b in datasource.LogReader(schema_of("messages"), {"path": str(tmp_path), **o}).read(p) for x in b.to_pylist())
+    for options in ({}, {"starttime": "2"}, {"topic": "/t", "endtime": "3"}, {"access": "scan"}):
+        whole = rows(options)
+        monkeypatch.setattr(datasource, "PLANNED", 1)
+        assert rows(options) == whole and whole
+        monkeypatch.undo()
 
 
 def test_index_coverage_is_checked(spark, tmp_path):
@@ -292,6 +366,14 @@ def test_streams(spark, tmp_path):
     drain()
     drain()
     assert sorted(r["log_time"] for r in tables.read_table(spark, sink).collect()) == sorted(FX3 * 2)
+    # A recording that appears late with an early time of change, as a commit by link gives it.
+    os.utime(record(f"{tmp_path}/c.mlog", orders), (1, 1))
+    os.link(f"{tmp_path}/c.mlog", f"{source}/0.mlog")
+    drain()
+    assert tables.read_table(spark, sink).count() == 12
+    os.unlink(f"{source}/a.mlog")
+    drain()
+    assert tables.read_table(spark, sink).count() == 12
 
 
 def test_forward_and_conflicts(spark):
@@ -302,6 +384,33 @@ def test_forward_and_conflicts(spark):
     assert [r["id"] for r in index.conflicting_ids(declared, ["path", "id"], ["topic", "metadata"]).collect()] == [2]
 
 
+def test_visited(spark, tmp_path):
+    from loomlog.plans.query import visited
+
+    path = record(f"{tmp_path}/a.mlog", orders)
+    m = tables.read_table(spark, path)
+    assert sorted(x["log_time"] for x in visited(m, "log_time = 1").collect()) == [1, 3] and visited(m, "log_time = 9").count() == 4
+
+
+def test_parsed_records_against_the_format(spark, tmp_path):
+    from loomlog.functions.records import parse_record
+    from loomlog.sources import format as f
+    from loomlog.sources import reading as r
+
+    path = record(f"{tmp_path}/a.mlog", lambda w: (orders(w), w.write_private(200, b"zz")), chunk_size=64)
+    tables.register(spark)
+    rows = tables.read_table(spark, path, "records").orderBy("record_ordinal").select("opcode", parse_record("opcode", "body").alias("j")).collect()
+    with open(path, "rb") as data:
+        want = [f.parse(x.opcode, x.body) for x in r.scan(data)]
+    assert len(rows) == len(want)
+    for row, record_ in zip(rows, want):
+        got = json.loads(row["j"])
+        assert got.pop("type") == type(record_).__name__ and set(got) == set(record_._fields)
+        for name, value in record_._asdict().items():
+            expected = value.hex() if isinstance(value, bytes) else {str(k): v for k, v in value.items()} if isinstance(value, dict) else [list(x) for x in value] if isinstance(value, list) else value
+            assert got[name] == expected
+
+
 def test_record_functions(spark):
     from pyspark.sql import functions as F
 
