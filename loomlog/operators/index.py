@@ -37,21 +37,26 @@ def message_index(messages: DataFrame, chunk: str = "chunk_ordinal", order: str
     return messages.select(chunk, "channel_id", "log_time", F.coalesce(F.sum(payload + OVERHEAD).over(before), F.lit(0)).cast("long").alias("offset"))
 
 
-def logical_chunks(messages: DataFrame, order: str, size: str, target: int, blocks: int = 64) -> DataFrame:
+#: Rows of a range that one task orders, on average.
+RANGE_ROWS = 50_000
+
+
+def logical_chunks(messages: DataFrame, order: str, size: str, target: int) -> DataFrame:
     """Adds chunk_id: messages in the given order are cut where the bytes before them pass multiples of target.
 
     The running sum over the whole table is made of sums of ranges of the order key and sums inside each range, so no
     task orders everything.
     """
-    low, high = messages.agg(F.min(order), F.max(order)).first()
+    low, high, n = messages.agg(F.min(order), F.max(order), F.count("*")).first()
     low, high = (0, 0) if low is None else (int(low), int(high))
+    blocks = max(1, -(-n // RANGE_ROWS))
     rows = messages.withColumn("block", F.expr(f"cast(({order} - {low}L) div {max(1, -(-(high - low + 1) // blocks))}L as int)"))
     sums = rows.groupBy("block").agg(F.sum(F.col(size) + OVERHEAD).alias("s"))
     prior = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("block", F.coalesce(F.sum("s").over(prior), F.lit(0)).alias("base"))
     inside = Window.partitionBy("block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     own = rows.withColumn("inside", F.coalesce(F.sum(F.col(size) + OVERHEAD).over(inside), F.lit(0)))
-    return own.join(F.broadcast(starts), "block").withColumn("chunk_id", F.expr(f"(base + inside) div {target}")).drop("block", "base", "inside")
+    return own.join(starts, "block").withColumn("chunk_id", F.expr(f"(base + inside) div {target}")).drop("block", "base", "inside")
 
 
 def attachment_index(attachments: DataFrame) -> DataFrame:

@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomlog.session import ship
+from loomlog.sources import columnar, datasource, files, model
 from loomlog.sources import format as f
+from loomlog.sources import reading as r
 from loomlog.sources.errors import LogError
 from loomlog.sources.tables import read_table
 
-#: Declarations are broadcast: ids have 16 bits, so a recording has at most 65,536 of each kind.
+#: Requests that a grouped seek takes.
 MAX_SEEKS = 65_536
 
 
 def resolve(messages: DataFrame, channels: DataFrame, schemas: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """Messages with channel and schema columns; an unknown channel is an error, no schema is null.
+    """Messages with channel and schema columns; an unknown channel is an error of the job, no schema is null.
 
     ``scope`` are the columns that ids belong to (the recording). Declarations of one recording are small by the
     format; of many recordings they are not, so the planner chooses the join from the sizes it finds.
     """
-    scope = scope or []
-    if messages.join(channels.select(*scope, F.col("id").alias("channel_id")), [*scope, "channel_id"], "left_anti").limit(1).count():
-        raise LogError("UnknownChannel", "a message refers to a channel that isn't declared")
-    return resolve_raw(messages, channels, schemas, scope)
+    bad = F.raise_error(F.concat(F.lit("UnknownChannel: a message refers to channel "), F.col("channel_id").cast("string")))
+    # In a generator of one row the check is neither pruned nor moved, whichever columns are asked for later.
+    found = resolve_raw(messages, channels, schemas, scope, known="__known")
+    checked = F.explode(F.array(F.when(F.col("__known"), F.lit(True)).otherwise(bad.cast("boolean"))))
+    return found.select("*", checked.alias("__checked")).where("__checked").drop("__known", "__checked")
 
 
-def resolve_raw(messages: DataFrame, channels: DataFrame, schemas: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """The same with unknown channels kept, their columns null."""
+def resolve_raw(messages: DataFrame, channels: DataFrame, schemas: DataFrame, scope: list[str] | None = None, known: str | None = None) -> DataFrame:
+    """The same with unknown channels kept, their columns null; ``known`` names a column that tells whether a channel was found."""
     scope = scope or []
-    own = channels.select(*scope, F.col("id").alias("channel_id"), "topic", "message_encoding", "schema_id")
-    known = schemas.select(*scope, F.col("id").alias("schema_id"), F.col("name").alias("schema_name"), F.col("encoding").alias("schema_encoding"))
+    own = channels.select(*scope, F.col("id").alias("channel_id"), "topic", "message_encoding", "schema_id", *([F.lit(True).alias(known)] if known else []))
+    declared = schemas.select(*scope, F.col("id").alias("schema_id"), F.col("name").alias("schema_name"), F.col("encoding").alias("schema_encoding"))
     bare = messages.drop("topic", "message_encoding", "schema_id")
-    return bare.join(own, [*scope, "channel_id"], "left").join(known, [*scope, "schema_id"], "left")
+    return bare.join(own, [*scope, "channel_id"], "left").join(declared, [*scope, "schema_id"], "left")
 
 
 def unknown_references(uses: DataFrame, declared: DataFrame, on: list[str]) -> DataFrame:
@@ -68,36 +76,58 @@ def checked_seek(messages: DataFrame, requests: DataFrame, on: list[str], order:
     if not 1 <= n <= MAX_SEEKS:
         raise ValueError(f"a grouped seek takes 1 to {MAX_SEEKS} requests")
     marked = messages.withColumn("found", F.lit(True))
-    out = seek(marked, F.broadcast(requests), on)
+    out = seek(marked, F.broadcast(requests), on)  # at most MAX_SEEKS rows, counted above
     if out.where("found is null").limit(1).count():
         raise LogError("BadIndex", "a request points to no message")
     return out.drop("found").orderBy(order)
 
 
-def seek_messages(spark: SparkSession, path: str, requests: list[tuple[int, int]]) -> list[tuple[int, f.Message]]:
-    """(chunk start, offset in the chunk) -> (request number, message); each chunk is loaded once."""
-    from loomlog.sources import files
-    from loomlog.sources import reading as r
+def _sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Requests sorted by recording and chunk -> the messages they point to; each chunk is loaded once."""
+    here, records, found, data, indexes = None, None, {}, None, {}
+    for batch in batches:
+        out = []
+        for path, start, at, number in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if here is None or path != here[0]:
+                if data is not None:
+                    data.close()
+                data = files.opened(path)
+                summary = r.read_summary(data, declarations=False)
+                indexes = {i.chunk_start_offset: i for i in (summary.chunk_indexes if summary else [])}
+            if here != (path, start):
+                if start not in indexes:
+                    raise LogError("BadIndex", "a request names no chunk")
+                here, records = (path, start), columnar.Records(f.expand(r.chunk_at(data, indexes[start])))
+                found = {int(records.starts[i]): i for i in records.where.tolist()}
+            if at not in found:
+                raise LogError("BadIndex", "a request points to no message")
+            m = r.message_of(records.body(found[at]))
+            out.append((path, start, at, number, m.channel_id, m.sequence, m.log_time, m.publish_time, m.data))
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], type=k) for i, k in enumerate(kinds)], names=[c.split(" ")[0] for c in SOUGHT.split(", ")])
+
+
+SOUGHT = "path string, chunk_start_offset long, offset long, req_no long, channel_id int, sequence long, log_time long, publish_time long, data binary"
+
+
+def seek_messages(requests: DataFrame) -> DataFrame:
+    """Messages at (path, chunk_start_offset, offset), with the request's number req_no if it has one.
+
+    Requests meet by chunk, so each chunk is loaded by one task and once, however many recordings and requests there
+    are; duplicates are kept. A request that points to no message fails the job: all or nothing. The log time of a
+    request plays no part.
+    """
+    ship(requests.sparkSession)
+    number = F.col("req_no").cast("long") if "req_no" in requests.columns else F.lit(None).cast("long")
+    rows = requests.select("path", "chunk_start_offset", "offset", number.alias("req_no"))
+    return rows.repartition("path", "chunk_start_offset").sortWithinPartitions("path", "chunk_start_offset").mapInArrow(_sought, SOUGHT)
 
-    if not 1 <= len(requests) <= MAX_SEEKS:
+
+def grouped_seek(requests: DataFrame) -> DataFrame:
+    """1 to MAX_SEEKS requests with req_no, answered in the order of their numbers."""
+    if not 1 <= requests.limit(MAX_SEEKS + 1).count() <= MAX_SEEKS:
         raise ValueError(f"a grouped seek takes 1 to {MAX_SEEKS} requests")
-    out: list[tuple[int, f.Message] | None] = [None] * len(requests)
-    with files.opened(path) as data:
-        summary = r.read_summary(data)
-        known = {i.chunk_start_offset: i for i in (summary.chunk_indexes if summary else [])}
-        groups: dict[int, list[int]] = {}
-        for k, (start, _) in enumerate(requests):
-            groups.setdefault(start, []).append(k)
-        for start, members in groups.items():
-            if start not in known:
-                raise LogError("BadIndex", "a request names no chunk")
-            at = {o: (op, b) for o, op, b in f.walk(f.expand(r.chunk_at(data, known[start])))}
-            for k in members:
-                opcode, body = at.get(requests[k][1], (None, None))
-                if opcode != f.MESSAGE:
-                    raise LogError("BadIndex", "a request points to no message")
-                out[k] = (k, r.message_of(body))
-    return out
+    return seek_messages(requests).orderBy("req_no")
 
 
 def read_chunk(spark: SparkSession, path: str, chunk_start: int) -> DataFrame:
@@ -105,15 +135,34 @@ def read_chunk(spark: SparkSession, path: str, chunk_start: int) -> DataFrame:
     return read_table(spark, path, access="indexed", chunkStarts=[chunk_start])
 
 
-def read_indexed(spark: SparkSession, path: str, table: str, index: DataFrame) -> DataFrame:
-    """Attachments or metadata at the offsets of an index (of one recording)."""
-    offsets = [r["offset"] for r in index.select("offset").collect()]
-    return read_table(spark, path, table, offsets=offsets)
+def read_indexed(index: DataFrame, table: str) -> DataFrame:
+    """Attachments or metadata at (path, offset) of an index, of any number of recordings; each task opens its own."""
+    spark = index.sparkSession
+    ship(spark)
+    schema = model.schema_of(table)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places: dict[str, list[int]] = {}
+            for path, offset in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                places.setdefault(path, []).append(offset)
+            for path, offsets in places.items():
+                reader = datasource.LogReader(schema, {"path": path, "table": table, "offsets": json.dumps(offsets)})
+                yield from reader.read(datasource.Part(path))
+
+    return index.select("path", "offset").repartition("path", (F.col("offset") / F.lit(64 << 20)).cast("long")).mapInArrow(read, schema)
+
+
+def chunks_of(spark: SparkSession, path: str) -> DataFrame:
+    """Chunks joined with their indexes: opcode and length must match, as the reader checks."""
+    index = read_table(spark, path, "chunk_index").select("path", "chunk_start_offset", "chunk_length", "message_index_offsets")
+    chunks = read_table(spark, path, "chunks").withColumn("chunk_start_offset", F.expr("shiftright(record_ordinal, 24)"))
+    return index.join(chunks, ["path", "chunk_start_offset"])
 
 
 def forward(messages: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Messages with channel ids replaced; id_map: channel_id, new_id (at most 65,536 rows by the format)."""
-    return messages.join(F.broadcast(id_map), "channel_id").withColumn("channel_id", F.col("new_id")).drop("new_id")
+    """Messages with channel ids replaced; id_map: channel_id, new_id. The planner chooses the join from the map's size."""
+    return messages.join(id_map, "channel_id").withColumn("channel_id", F.col("new_id")).drop("new_id")
 
 
 def as_of(left: DataFrame, right: DataFrame, by: list[str], time: str, value: str) -> DataFrame:
