@@ -1,31 +1,21 @@
-"""Vectorised 64-bit hashes of byte ranges (words) and of sequences of words (shingles)."""
+"""Vectorised 64-bit hashes of byte ranges (words) and of sequences of words (shingles).
+
+A range is read in blocks of eight bytes, each of which changes the state one to one before it is mixed: there is no
+polynomial whose structure texts could hit upon. Ranges beyond LONG bytes go through BLAKE2b.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-#: Bytes hashed at a time.
-SLICE = 1 << 19
-#: An odd multiplier, its inverse modulo 2^64, and the constants of the finalizer.
+#: Bytes of a range from which it is hashed by itself.
+LONG = 128
+#: An odd multiplier and the constants of the finalizer.
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def power(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(1024, n)
-        have = np.full(size, np.uint64(base))
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if size <= SLICE + 1:
-            _powers[base] = have
-    return have[:n]
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX1
@@ -33,22 +23,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-
-
 def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of raw[start:end] for each ascending, non-overlapping range; equal bytes have equal hashes."""
-    out = np.zeros(len(starts), dtype=np.uint64)
-    i = 0
-    while i < len(starts):
-        base = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(ends, base + SLICE, "right")))
-        a, b = starts[i:j] - base, ends[i:j] - base
-        n = int(b[-1])
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[raw[base : base + n]] * power(_BASE, n), out=sums[1:])
-        out[i:j] = mix((sums[b] - sums[a]) * power(_INVERSE, n + 1)[a] + (b - a).astype(np.uint64))
-        i = j
+    """A hash of raw[start:end] for each range; equal bytes have equal hashes."""
+    left = ends - starts
+    out = left.astype(np.uint64) * np.uint64(_BASE)
+    if not len(out):
+        return out
+    blocks = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(8, np.uint8)), 8)
+    some = np.flatnonzero((left > 0) & (left <= LONG))
+    at, left_of = starts[some], left[some]
+    while len(some):
+        block = blocks[at].view("<u8").ravel()
+        part = left_of < 8
+        block[part] &= (np.uint64(1) << (left_of[part] * 8).astype(np.uint64)) - np.uint64(1)
+        out[some] = mix((out[some] ^ block) * np.uint64(_BASE))
+        more = left_of > 8
+        some, at, left_of = some[more], at[more] + 8, left_of[more] - 8
+    for i in np.flatnonzero(left > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 

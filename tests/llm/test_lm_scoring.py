@@ -100,7 +100,21 @@ def test_hashes(monkeypatch):
     starts, ends = np.array([0, 4, 8, 12, 19]), np.array([3, 7, 11, 18, 119])
     whole = range_hashes(raw, starts, ends)
     assert whole[0] == whole[2] and len(set(whole.tolist())) == 4
-    monkeypatch.setattr(h, "SLICE", 8)
-    assert (range_hashes(raw, starts, ends) == whole).all()
+    monkeypatch.setattr(h, "LONG", 8)
+    short = range_hashes(raw, starts, ends)
+    assert (short[:4] == whole[:4]).all() and short[4] != whole[4]
+    # Words that polynomials modulo 2^64 can't tell apart, and all words of few letters.
+    for n in (6, 7, 10, 11, 12):
+        word = [0]
+        for _ in range(n):
+            word += [1 - x for x in word]
+        both = np.array([*word, 9, *(1 - x for x in word)], np.uint8) + 97
+        for limit in (8, 128, 1 << 20):
+            monkeypatch.setattr(h, "LONG", limit)
+            got = range_hashes(both, np.array([0, len(word) + 1]), np.array([len(word), len(both)]))
+            assert got[0] != got[1]
+    words = sorted({bytes(rnd.choice(b"ab\0") for _ in range(rnd.randint(1, 20))) for rnd in [random.Random(5)] for _ in range(20_000)})
+    ends = np.cumsum([len(w) for w in words])
+    assert len(set(range_hashes(np.frombuffer(b"".join(words), np.uint8), np.append(0, ends[:-1]), ends).tolist())) == len(words)
     got, at = shingle_hashes(np.array([1, 2, 3, 1, 2, 3, 9, 1, 2], np.uint64), np.array([0, 3, 3, 6, 7, 9]), 3)
     assert at.tolist() == [0, 1, 1, 2, 3, 4] and got[0] == got[1] and len(set(got.tolist())) == 3
