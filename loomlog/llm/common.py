@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,6 +78,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a table written in the shared folder. For loops: a checkpoint keeps the logical plan for its
+    statistics, which a loop multiplies; a table cuts that too, and its size is known to the planner."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows of a partition that a small intermediate table is read in.
 SETTLED_ROWS = 20_000
 
@@ -162,13 +171,5 @@ def salted_totals(rows: DataFrame, key: str, spread: str, measures: dict, salts:
     return totals.select(F.col(key).alias("total_key"), *measures, F.explode("salts").alias("total_salt"))
 
 
-#: Rows that a filter names are broadcast up to this many (16 bytes each), joined by a shuffle beyond.
+#: Narrow rows (16 to 40 bytes each, counted) that are broadcast at most; beyond, the same narrow tables are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-
-
-def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of docs but those in dropped(doc, mark), where mark is xxhash64 of the text; identifiers may be null."""
-    few = dropped.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    gone = dropped.select(F.col("doc").alias("__gone"), F.col("mark").alias("__mark"))
-    gone = F.broadcast(gone) if few else gone
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__mark"]), "left_anti")

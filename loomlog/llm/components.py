@@ -12,9 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable, settled
+from loomlog.llm.common import settled, written
 
 SMALL_EDGES = 500_000
+#: Parts of a node's neighbours.
+SALTS = 32
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,8 +43,11 @@ def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges: u, v. Every neighbour that is larger (large star) or not larger (small star) joins the smallest one."""
     around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    joined = around.join(least, "u")
+    # The centre of a large star is dealt out by its neighbours, in the counts and in the join.
+    around = around.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = around.groupBy("u", "salt").agg(F.min("v").alias("v"))
+    least = parts.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.collect_set("salt").alias("salts"))
+    joined = around.join(least.select("u", "m", F.explode("salts").alias("salt")), ["u", "salt"])
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -55,9 +60,9 @@ def components(edges: DataFrame) -> DataFrame:
     now, n = settled(edges.select("u", "v").where("u != v"))
     if n <= SMALL_EDGES:
         return now.coalesce(1).mapInArrow(_union_find, "node long, root long")
-    now = durable(now.distinct())
+    now = written(now.distinct())
     while True:
-        after = durable(_star(_star(now, True), False))
+        after = written(_star(_star(now, True), False))
         # A forest of stars whose centres are the smallest nodes is a fixed point.
         same = now.count() == after.count() and after.exceptAll(now).isEmpty()
         now = after

@@ -5,14 +5,16 @@
 2. Runs are dealt out by digest. Each task keeps a small LSM tree: arriving batches form a memtable, a flushed
    run has a Bloom filter, and compaction merges runs, keeping the smallest identifier and adding the counts.
 3. Digests found in several runs are hits: the texts of their representatives (one row per memtable, never one
-   per copy) are read again and compared byte by byte. Should a digest ever collide, its texts become variants.
+   per copy) are read again and compared byte by byte. Should a digest ever collide, its texts become variants. The
+   representatives are recognised by a filter of bounded size, so no other text is moved.
 
-Hot groups: a group with a third of all rows is one entry per memtable after step 1; the member lists are routed
-by (digest, salt) so no task receives a whole group. Memory is bounded by the memtable's limits and the size of a
+Hot groups: a group with a third of all rows is one entry per memtable after step 1; representatives and member lists
+are routed by (digest, salt) so no task receives a whole group. Memory is bounded by the memtable's limits and the size of a
 shuffle partition. The lineage is cut by reliable checkpoints of the (narrow) runs.
 
 Defined results: null text equals empty text; a null identifier never wins against another one; of repeated rows
-(same identifier, same text) exactly one is kept; an empty table gives no rows; further columns are ignored.
+(same identifier, same text) exactly one is kept; a text larger than a memtable is a memtable by itself; an empty table
+gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlog.llm.common import durable, lowered, pick, prepare, tidy, utf8
+from loomlog.llm.membership import Members, key, may_hold
 
 #: Limits of a memtable in the scan: entries (rows) and bytes of text kept for verification.
 MEMTABLE_ROWS, MEMTABLE_BYTES = 200_000, 64 << 20
@@ -35,10 +38,8 @@ MEMTABLE_ROWS, MEMTABLE_BYTES = 200_000, 64 << 20
 INDEX_ROWS, FANOUT = 50_000, 8
 #: Member lists of one digest go to so many tasks.
 SALTS = 64
-#: Identifiers of hits are broadcast up to this many (about 160 bytes each), joined by a shuffle beyond.
-BROADCAST_IDS = 200_000
 
-_RUN = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("run", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sha", T.BinaryType()), T.StructField("members", T.ArrayType(T.LongType()))])
+_RUN = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("run", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sha", T.BinaryType()), T.StructField("members", T.ArrayType(T.LongType())), T.StructField("marks", T.ArrayType(T.LongType()))])
 _LAST = np.iinfo(np.int64).max
 
 
@@ -53,16 +54,16 @@ class Memtable:
     def key(self, identifier: int | None) -> int:
         return _LAST if identifier is None else ~identifier if self.largest else identifier
 
-    def add(self, identifier: int | None, text: bytes) -> None:
+    def add(self, identifier: int | None, text: bytes, mark: int = 0) -> None:
         sha = hashlib.sha256(text).digest()
         own = self.entries.setdefault(sha[: self.size], [])
         self.rows += 1
         for entry in own:
             if entry[3] == text:  # the hit is verified
-                entry[1].append(identifier)
+                entry[1].append((identifier, mark))
                 entry[0] = min(entry[0], self.key(identifier))
                 return
-        own.append([self.key(identifier), [identifier], sha, text])
+        own.append([self.key(identifier), [(identifier, mark)], sha, text])
         self.bytes += len(text)
 
     def full(self) -> bool:
@@ -70,9 +71,9 @@ class Memtable:
 
     def flush(self, run: int) -> pa.RecordBatch:
         """The sorted run; of colliding texts each has its own row."""
-        rows = [(d, e[0], run + i, len(e[1]), e[2], sorted(e[1], key=self.key)) for d in sorted(self.entries) for i, e in enumerate(self.entries[d])]
+        rows = [(d, e[0], run + i, len(e[1]), e[2], *zip(*sorted(e[1], key=lambda m: (self.key(m[0]), m[1])))) for d in sorted(self.entries) for i, e in enumerate(self.entries[d])]
         self.entries, self.rows, self.bytes = {}, 0, 0
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=k) for i, k in enumerate(kinds)], names=_RUN.names)
 
 
@@ -180,8 +181,8 @@ def _build(digest_bytes: int, largest: bool):
         for batch in batches:
             raw, at = utf8(batch.column(1))
             data, at = lowered(raw).tobytes(), at.tolist()
-            for identifier, a, b in zip(batch.column(0).to_pylist(), at, at[1:]):
-                table.add(identifier, data[a:b])
+            for identifier, mark, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), at, at[1:]):
+                table.add(identifier, data[a:b], mark)
                 if table.full():
                     yield table.flush(run)
                     run += 1 << 16
@@ -204,18 +205,39 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([raw[i * 32 : i * 32 + size] for i in range(len(v))], type=pa.binary()), *(pa.array(v[:, i], type=pa.int64()) for i in range(4))], names=["digest", "key", "run", "total", "entries"])
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (digest, salt, run, text) sorted by digest and salt -> the different texts of each, with their runs."""
+    here, texts = None, {}
+
+    def out() -> pa.RecordBatch:
+        rows = list(texts.items())
+        kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+        values = ([here[0]] * len(rows) if here else [], [min(r) for _, r in rows], [r for _, r in rows], [t for t, _ in rows])
+        return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(values, kinds)], names=["digest", "first", "runs", "text"])
+
+    for batch in batches:
+        for digest, salt, run, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if (digest, salt) != here:
+                if here:
+                    yield out()
+                here, texts = (digest, salt), {}
+            texts.setdefault(text, []).append(run)
+    if here:
+        yield out()
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by digest and key -> the entries whose text differs from the first one's, as variants."""
+    """Different texts by salt, sorted by digest and first run -> runs whose text isn't the digest's first one, as variants."""
     digest, texts = None, []
     for batch in batches:
         out = []
-        for d, run, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for d, _, runs, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if d != digest:
                 digest, texts = d, []
             if text not in texts:
                 texts.append(text)
             if variant := texts.index(text):
-                out.append((d, run, variant))
+                out += [(d, run, variant) for run in runs]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=k) for i, k in enumerate((pa.binary(), pa.int64(), pa.int64()))], names=["digest", "run", "variant"])
 
 
@@ -224,27 +246,21 @@ def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, at = utf8(batch.column("text"))
         data = lowered(raw).tobytes()
         at = at.tolist()
-        yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("run"), pa.array([data[a:b] for a, b in zip(at, at[1:])], type=pa.binary())], names=["digest", "run", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("salt"), batch.column("run"), pa.array([data[a:b] for a, b in zip(at, at[1:])], type=pa.binary())], names=["digest", "salt", "run", "text"])
 
 
 def _index(runs: DataFrame) -> DataFrame:
     return runs.select("digest", "key", "run", "n").repartition("digest").mapInArrow(tidy(_compact), "digest binary, key long, run long, total long, entries long")
 
 
-def by_identifier(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
-    """df joined with ids, which are broadcast only if their number is within BROADCAST_IDS."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, on, how)
-
-
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", digest_bytes: int = 32) -> DataFrame:
-    """One row per input row: doc, keep, group_size, kept, sha (of the text after lower-casing A-Z).
+    """One row per input row: doc, mark (xxhash64 of the text), keep, group_size, kept, sha (of the text after lower-casing A-Z).
 
     ``digest_bytes`` shortens the index key; results stay exact, as hits are verified byte by byte.
     """
     prepare(docs.sparkSession)
     largest = {"smallest": False, "largest": True}[keep]
-    rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
+    rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string").withColumn("mark", F.xxhash64("text"))
     runs = durable(rows.mapInArrow(tidy(_build(digest_bytes, largest)), _RUN))
     index = durable(_index(runs))
 
@@ -252,14 +268,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     back = F.bitwise_not("key") if largest else F.col("key")
     hits = runs.join(index.where("entries > 1").select("digest"), "digest", "left_semi")
     hits = durable(hits.select("run", F.when(F.col("key") != _LAST, back).alias("doc"), F.col("sha").alias("own")))
-    if not hits.isEmpty():
+    if n := hits.count():
+        # A filter of the hits' identifiers and texts finds their rows; the join tells which run each belongs to.
         sha = F.unhex(F.sha2(F.coalesce(_lower("text"), F.lit("")), 256))
-        texts = by_identifier(rows, hits.where("doc is not null"), "doc", "inner").where(sha == F.col("own")).select("own", "run", "text")
-        if not (nameless := hits.where("doc is null")).isEmpty():
-            texts = texts.unionByName(rows.where("doc is null").withColumn("own", sha).join(nameless.drop("doc"), "own").select("own", "run", "text"))
-        texts = texts.withColumn("digest", F.substring("own", 1, digest_bytes))
-        texts = texts.mapInArrow(tidy(_normal), "digest binary, run long, text binary")
-        variants = durable(texts.repartition("digest").sortWithinPartitions("digest", "run").mapInArrow(_compare, "digest binary, run long, variant long").distinct())
+        some = may_hold(rows, Members(hits.select(key("doc").alias("k")).select("k.a", "k.b"), n), "doc").withColumn("sha", sha)
+        hits = hits.withColumnRenamed("doc", "of")
+        texts = some.join(hits, (F.col("sha") == F.col("own")) & F.col("doc").eqNullSafe(F.col("of"))).select(F.substring("own", 1, digest_bytes).alias("digest"), F.pmod(F.shiftright("run", 36), F.lit(SALTS)).alias("salt"), "run", "text")
+        texts = texts.mapInArrow(tidy(_normal), "digest binary, salt long, run long, text binary")
+        texts = texts.repartition("digest", "salt").sortWithinPartitions("digest", "salt").mapInArrow(_distinct, "digest binary, first long, runs array<long>, text binary")
+        variants = durable(texts.repartition("digest").sortWithinPartitions("digest", "first").mapInArrow(_compare, "digest binary, run long, variant long").distinct())
         if not variants.isEmpty():
             variant = F.coalesce(F.col("variant"), F.lit(0)).cast("string").cast("binary")
             runs = runs.join(variants, ["digest", "run"], "left").withColumn("digest", F.unhex(F.sha2(F.concat("digest", variant), 256))).drop("variant")
@@ -268,10 +285,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     salted = runs.withColumn("salt", F.pmod(F.shiftright("run", 16) + F.shiftright("run", 36), F.lit(SALTS)))
     wanted = salted.groupBy("digest", "salt").agg(F.lit(1).alias("one")).join(index, "digest").select("digest", "salt", F.col("key").alias("best"), F.col("run").alias("best_run"), "total")
     found = salted.join(wanted, ["digest", "salt"])
-    each = found.select("*", F.posexplode("members").alias("pos", "doc"))
+    each = found.select("*", F.posexplode(F.arrays_zip("members", "marks")).alias("pos", "m"))
     win = (F.col("pos") == 0) & (F.col("run") == F.col("best_run"))
     keep_id = F.when(F.col("best") != _LAST, F.bitwise_not("best") if largest else F.col("best"))
-    return each.select("doc", keep_id.alias("keep"), F.col("total").alias("group_size"), win.alias("kept"), F.lower(F.hex("sha")).alias("sha"))
+    return each.select(F.col("m.members").alias("doc"), F.col("m.marks").alias("mark"), keep_id.alias("keep"), F.col("total").alias("group_size"), win.alias("kept"), F.lower(F.hex("sha")).alias("sha"))
 
 
 def _lower(column: str):

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
 1. Documents are dealt into shards by a seeded hash; (source, shard) is a cell, and its words are cut into blocks of
-   about ``block_words``. Only sums per cell reach the driver: at most MAX_SHARDS rows for each source of the
-   catalogue, whatever the number of documents.
+   about ``block_words``. Only sums per cell reach the driver: at most MAX_CELLS, however many documents and sources
+   there are (a source has one cell at least). A cell's documents are sorted and summed as a stream that may spill.
 2. Targets in words follow the weights, up to ``max_repeat`` times a source's own words. Blocks go to sources by
    highest quotients v / (2k + 1), then each source's blocks to its shards by the same rule: integer quotas per cell.
 3. In each cell documents stand in a seeded order. A quota of q blocks of n is q // n whole passes and one seeded,
@@ -12,7 +12,9 @@ Hot sources are spread over all shards, the running sum of a cell is a streaming
 every choice is a hash of identifiers, the seed and sums over whole tables.
 
 Defined results: null text has size 0; a null source is a source of its own, ranked last; repeated rows count one by
-one; an empty table, or one without words, takes nothing.
+one; null identifiers are dealt by their texts; equal quotients go to the first source or shard, equal places in a
+cell's order to rows that are equal in all that decides; a very long text is cut like others; further columns are
+ignored, whatever their names; an empty table, or one without words, takes nothing.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import types as T
 
 from loomlog.llm.common import pick, prepare, tidy, utf8, word_counts, words_of
 
-#: Documents of a shard on average, and the most shards.
-SHARD_DOCS, MAX_SHARDS = 1000, 4096
+#: Documents of a shard on average, and the most cells of all sources.
+SHARD_DOCS, MAX_CELLS = 1000, 1 << 18
 BLOCK_WORDS = 32
 #: The weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -93,8 +95,9 @@ def _sizes(schema: T.StructType):
 
 
 def with_sizes(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """doc, source, size and the carried columns; ``docs`` has doc, source, text."""
-    schema = T.StructType([f for f in docs.schema if f.name in ("doc", "source", *carried)] + [T.StructField("size", T.LongType())])
+    """doc, source, mark, size and the carried columns; ``docs`` has doc, source, text."""
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    schema = T.StructType([x for x in docs.schema if x.name in ("doc", "source", "mark", *carried)] + [T.StructField("size", T.LongType())])
     return docs.mapInArrow(tidy(_sizes(schema)), schema)
 
 
@@ -142,19 +145,21 @@ def _source_key(column: str):
 def mix(sized: DataFrame, weights=WEIGHTS, max_repeat: int = 3, block_words: int = BLOCK_WORDS, seed: int = 17, sums_of: DataFrame | None = None) -> DataFrame:
     """Adds source_size, target, passes, cut1_from, cut1_to, cut2_from, cut2_to (word ranges of the run) and taken.
 
-    ``sized`` has doc, source, size; ``sums_of`` may be a cheaper frame with the same rows for the sums.
+    ``sized`` has doc, source, mark (a hash of the text), size; ``sums_of`` may be a cheaper frame with the same rows for
+    the sums.
     """
     spark = sized.sparkSession
     sums_of = sized if sums_of is None else sums_of
-    shards = max(1, min(MAX_SHARDS, -(-sums_of.count() // SHARD_DOCS)))
-    shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc")), F.lit(shards))
+    n, sources = sums_of.agg(F.count("*"), F.approx_count_distinct("source")).first()
+    shards = max(1, min(MAX_CELLS // (int(1.2 * sources) + 1), -(-n // SHARD_DOCS)))
+    shard = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("doc", "mark")), F.lit(shards))
     sums = sums_of.groupBy("source", shard.alias("shard")).agg(F.sum("size").alias("words")).collect()
     rows = quotas([tuple(r) for r in sums], weights, max_repeat, block_words, seed)
     plan = spark.createDataFrame(rows, _QUOTA)
     plan = plan.withColumns({"cell": _source_key("cell_source"), "shard": F.col("cell_shard")}).drop("cell_source", "cell_shard")
     plan = F.broadcast(plan) if len(rows) <= BROADCAST_CELLS else plan
 
-    order = Window.partitionBy("cell", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc"), "doc", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("cell", "shard").orderBy(F.xxhash64(F.lit(seed + 1), F.coalesce("doc", "mark")), "doc", "size", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumns({"cell": _source_key("source"), "shard": shard})
     each = placed.withColumn("a", F.coalesce(F.sum("size").over(order), F.lit(0))).join(plan, ["cell", "shard"])
 
@@ -163,7 +168,7 @@ def mix(sized: DataFrame, weights=WEIGHTS, max_repeat: int = 3, block_words: int
     within = lambda x: F.least(F.greatest(F.col(x) - F.col("a"), F.lit(0)), F.col("size"))
     each = each.withColumns({"cut1_from": within("lo1"), "cut1_to": within("hi1"), "cut2_from": F.lit(0).cast("long"), "cut2_to": within("hi2")})
     taken = F.col("passes") * F.col("size") + F.col("cut1_to") - F.col("cut1_from") + F.col("cut2_to")
-    return each.withColumn("taken", taken).drop("cell", "shard", "words", "blocks", "first", "last", "lo1", "hi1", "hi2", "a")
+    return each.withColumn("taken", taken).drop("cell", "shard", "words", "blocks", "first", "last", "lo1", "hi1", "hi2", "a", "mark")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:

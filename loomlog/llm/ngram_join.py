@@ -1,27 +1,34 @@
 """N-gram Jaccard self-join by T-occurrence search (DivideSkip), as links between classes of equal shingle sets.
 
 1. A scan turns each text into its set of 5-word shingles (64-bit hashes). Documents with equal sets form a class; its
-   number is a hash of the set, so copies never meet as pairs. The same scan counts shingles in a sketch of fixed
+   number is a hash of the set, so copies never meet as pairs. A second hash beside it tells sets apart whose numbers
+   are equal by chance: all but one of them get another number. The same scan counts shingles in a sketch of fixed
    size, one for each task, and the sketches are added.
 2. Shingles are ordered by hash, those that the sketch shows to be frequent last (any order is exact, this one keeps
    lists short). Two sets of Jaccard similarity t share a shingle among their first n - ceil(t n) + 1, so only those are
-   posted to inverted lists. A list with one class is dropped where it is sorted.
+   posted to inverted lists. A posting stays only if its list has another one whose size and position leave room for a
+   link: lists are read whole where they are sorted, heavy ones, which are dealt out, by a histogram of their sizes. So
+   texts that share less than the threshold, however many, leave no postings on the lists of what they share.
 3. Rounds of pivots: the first classes of every list are its pivots, one in the first round, then four times as many.
    A pivot is paired with the list's later classes unless both already belong to one component, sizes differ too
    much, or the positions in both sets leave too little room (exact for the first common shingle). A list is done
    when its classes are in one component or all its pairs were made: large groups of near copies collapse after
    their first pivots instead of meeting pair by pair, and no link between components is lost.
-4. A pivot and its candidates are searched by DivideSkip: short inverted lists are merged by a heap, the long ones
-   are probed by binary search for what the heap counted often enough, and classes that reach the overlap are links.
+4. T-occurrence search: the classes that a list's pivots ask for are the records of inverted lists over their whole
+   sets (blocks of about BLOCK records), and all of the list's pivots are searched in them by DivideSkip: short
+   inverted lists are merged by a heap, the long ones are probed by binary search for what the heap counted often
+   enough, and classes that reach the overlap are links.
 5. Components of the links, and the smallest document of each.
 
 Hot lists are known from the sketch and dealt out in parts of some hundred classes, their pivots are found with partial limits;
-candidates of a pivot are salted into blocks of about BLOCK classes; nothing grows on the driver but the sketch, whose size is fixed. All intermediate tables are
-reliable checkpoints, narrow ones but for the sets of classes that share a list.
+nothing grows on the driver but the sketch and a filter, whose sizes are bounded. Texts never move: sets of classes that
+share a list are read again from the rows that a filter lets pass, so what is shuffled are postings, pairs and these
+sets. All intermediate tables are reliable checkpoints.
 
 Defined results: a text with fewer words than the shingle has its whole sequence as one shingle; null, empty and
 wordless texts have none, and form a component alone; repeated rows are equal texts; a null identifier is never the
-smallest unless a component has no other; an empty table gives no rows.
+smallest unless a component has no other; ties don't occur, as every link counts; a very long text is one set, held by
+one task at a time; further columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +43,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of
+from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of, written
 from loomlog.llm.components import components
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
+from loomlog.llm.membership import Members, key, may_hold
 
 #: Words of a shingle; the threshold is NUM / DEN.
 WORDS, NUM, DEN = 5, 3, 4
@@ -79,27 +87,38 @@ def class_of(own: np.ndarray) -> int:
     return int((mix(own).sum(dtype=np.uint64) ^ np.uint64(len(own) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)) if len(own) else 0
 
 
-_SCAN = "doc long, mark long, n long, class long, part int, counts binary"
+def check_of(own: np.ndarray) -> int:
+    """Another number, independent of the first."""
+    return int(mix(mix(own) + np.uint64(0xD1342543DE82EF95)).sum(dtype=np.uint64).view(np.int64)) if len(own) else 0
+
+
+def renumbered(own: np.ndarray, number: int, again: dict[tuple[int, int], int], shared: set[int]) -> int:
+    """The class of a set, where sets of one number have others."""
+    return again.get((number, check_of(own)), number) if number in shared else number
+
+
+_SCAN = "doc long, mark long, n long, class long, check long, part int, counts binary"
 
 
 def _scan(size: int, bits: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << bits, dtype=np.uint32), set()
-        names = ["doc", "mark", "n", "class", "part", "counts"]
+        names = [c.split(" ")[0] for c in _SCAN.split(", ")]
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, checks = [], [], []
             for _, own in shingle_sets(*utf8(batch.column("text")), size):
                 c = class_of(own)
                 sizes.append(len(own))
                 classes.append(c)
+                checks.append(check_of(own))
                 if c not in seen:
                     seen.add(c)
                     np.add.at(sketch, (own >> np.uint64(64 - bits)).astype(np.int64), 1)
             k = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(sizes, type=pa.int64()), pa.array(classes, type=pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), *(pa.array(x, type=pa.int64()) for x in (sizes, classes, checks)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
         parts = np.split(sketch, SKETCH_PARTS)
         k = SKETCH_PARTS
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), type=pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], type=pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(5)), pa.array(range(k), type=pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], type=pa.binary())], names=names)
 
     return scan
 
@@ -142,14 +161,16 @@ def order_keys(own: np.ndarray, top: np.ndarray, bits: int) -> np.ndarray:
     return np.sort(top[(own >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | ((own << np.uint64(20)) >> np.uint64(8)) | (own >> np.uint64(64 - 8)))
 
 
-def _post(size: int, bits: int, shared):
+def _post(size: int, bits: int, ranked, again: dict[tuple[int, int], int]):
+    twice = {c for c, _ in again}
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, seen = shared.value, set()
+        top, seen = ranked.value, set()
         for batch in batches:
             keys, classes, sizes = [], [], []
             for _, own in shingle_sets(*utf8(batch.column("text")), size):
                 n = len(own)
-                if n and (c := class_of(own)) not in seen:
+                if n and (c := renumbered(own, class_of(own), again, twice)) not in seen:
                     seen.add(c)
                     keys.append(order_keys(own, top, bits)[: n - (NUM * n + DEN - 1) // DEN + 1])
                     classes.append(c)
@@ -292,58 +313,68 @@ class DivideSkip:
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks (pivot, salt), sorted, the pivot's own set first -> links."""
-    block, query, members, sets = None, None, [], []
-
-    def links() -> list[tuple[int, int]]:
-        if query is None or not members:
-            return []
-        return [(block[0], members[i]) for i in DivideSkip(sets).search(query)]
-
-    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
-
+    """Blocks (list, salt), sorted, their records before their pivots -> links. Records are held, pivots pass by."""
+    block, members, sets, index = None, [], [], None
     for batch in batches:
-        found = []
-        for pivot, salt, first, own, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if (pivot, salt) != block:
-                found += links()
-                block, query, members, sets = (pivot, salt), None, [], []
-            if first == 0:
-                query = np.frombuffer(data, np.uint64)
-            else:
+        found: list[tuple[int, int]] = []
+        for here, salt, asked, own, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (here, salt) != block:
+                block, members, sets, index = (here, salt), [], [], None
+            if not asked:
                 members.append(own)
                 sets.append(np.frombuffer(data, np.uint64))
-        yield batch_of(found)
-    yield batch_of(links())
+            elif members:
+                index = index or DivideSkip(sets)
+                found += [(own, members[i]) for i in index.search(np.frombuffer(data, np.uint64)) if members[i] != own]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
-def _sets(size: int):
+def _sets(size: int, again: dict[tuple[int, int], int]):
+    twice = {c for c, _ in again}
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # rows that are repeated
         for batch in batches:
-            found = [own for _, own in shingle_sets(*utf8(batch.column("text")), size)]
-            classes = np.array([class_of(own) for own in found], np.int64)
-            right = []
-            for i in np.flatnonzero(classes == batch.column("class").to_numpy()).tolist():
-                if classes[i] not in seen:
-                    seen.add(int(classes[i]))
-                    right.append(i)
-            for a in range(0, len(right), 1000):
-                some = right[a : a + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array([found[i].tobytes() for i in some], type=pa.binary())], names=["class", "shingles"])
+            classes, data = [], []
+            for _, own in shingle_sets(*utf8(batch.column("text")), size):
+                if len(own) and (c := renumbered(own, class_of(own), again, twice)) not in seen:
+                    seen.add(c)
+                    classes.append(c)
+                    data.append(own.tobytes())
+            for a in range(0, len(classes), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array(classes[a : a + 1000], type=pa.int64()), pa.array(data[a : a + 1000], type=pa.binary())], names=["class", "shingles"])
 
     return sets
 
 
-def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) -> DataFrame | None:
+#: The largest set that a posting can still be linked with, as SQL.
+_MOST = f"({NUM + DEN} * (n - at) - {NUM} * n) div {NUM}"
+
+
+def _roomy(lists: DataFrame) -> DataFrame:
+    """Postings of heavy lists that some other one of the list leaves room for, by size classes of the whole list.
+
+    The histogram has some hundred size classes whatever the list's length; sums and join go by (key, salt).
+    """
+    is_heavy = F.expr(f"shiftrightunsigned(key, 56) >= {HEAVY_RANK}")
+    many = lists.where(is_heavy).withColumns({"most": F.expr(_MOST), "bucket": F.expr("if(n < 64, cast(n as int), 64 + cast(floor(ln(n / 64) * 40) as int))")})
+    parts = many.groupBy("key", "salt", "bucket").agg(F.min("n").alias("low"), F.max("most").alias("high"), F.count("*").alias("c"))
+    whole = parts.groupBy("key", "bucket").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("c").alias("c"), F.collect_set("salt").alias("salts"))
+    whole = whole.groupBy("key").agg(F.collect_list(F.struct("bucket", "low", "high", "c")).alias("sizes"), F.array_distinct(F.flatten(F.collect_list("salts"))).alias("salts"))
+    room = F.exists("sizes", lambda x: (x["low"] <= F.col("most")) & (x["high"] >= F.col("n")) & ((x["bucket"] != F.col("bucket")) | (x["c"] > 1)))
+    kept = many.join(whole.select("key", "sizes", F.explode("salts").alias("salt")), ["key", "salt"]).where(room)
+    return lists.where(~is_heavy).unionByName(kept.select(*lists.columns))
+
+
+def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, again: dict) -> DataFrame | None:
     """Links u (pivot), v that connect every component, or None where there are none."""
     wanted = lists.select("class").distinct()
-    best = scanned.groupBy("class").agg(F.min(F.struct("doc", "mark")).alias("r")).join(wanted, "class", "left_semi")
-    best, wanted_classes = settled(best.select("class", F.col("r.doc").alias("rdoc"), F.col("r.mark").alias("rmark")))
-    side = F.broadcast(best) if wanted_classes <= BROADCAST_ROWS else best
-    texts = rows.join(side, rows["doc"].eqNullSafe(side["rdoc"]) & (rows["mark"] == side["rmark"])).select("class", "text")
-    sets = durable(texts.mapInArrow(tidy(_sets(size)), "class long, shingles binary"))
+    best, n = settled(classes.join(wanted, "class", "left_semi").select(key("doc", "mark").alias("k")).select("k.a", "k.b"))
+    if not n:
+        return None
+    # What passes besides the wanted rows is a set that no pair asks for.
+    texts = may_hold(rows, Members(best, n), "doc", "mark").select("text")
+    sets = durable(texts.mapInArrow(tidy(_sets(size, again)), "class long, shingles binary"))
 
     links = done = None
     low, high, active = 0, 1, lists
@@ -354,10 +385,11 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
         parts = active.select("key", "salt").distinct()
         both = active.join(pivots.join(parts, "key"), ["key", "salt"]).where("class > p_class and label != p_label")
         fits = F.expr(f"{DEN} * least(n, p_n) >= {NUM} * greatest(n, p_n) and {NUM + DEN} * least(n - at, p_n - p_at) >= {NUM} * (n + p_n)")
-        pairs = both.where(fits).select(F.col("p_class").alias("u"), F.col("class").alias("v")).distinct()
+        pairs = both.where(fits).groupBy(F.col("p_class").alias("u"), F.col("class").alias("v")).agg(F.min("key").alias("list"))
         pairs, made = settled(pairs if done is None else pairs.join(done, ["u", "v"], "left_anti"))
         if made:
-            done = pairs if done is None else settled(done.unionByName(pairs))[0]
+            asked = pairs.select("u", "v")
+            done = asked if done is None else settled(done.unionByName(asked))[0]
             found, hits = settled(_searched(pairs, made, sets))
             if hits:
                 links = found if links is None else settled(links.unionByName(found))[0]
@@ -365,8 +397,8 @@ def _links(rows: DataFrame, scanned: DataFrame, lists: DataFrame, size: int) ->
                 labels = F.broadcast(labels) if named <= BROADCAST_ROWS else labels
                 active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
         low, high = high, high * GROWTH
-        active, left = settled(_open(active, low))
-        if not left:
+        active = written(_open(active, low))
+        if active.isEmpty():
             return links
 
 
@@ -379,36 +411,54 @@ def _open(lists: DataFrame, done: int) -> DataFrame:
 
 
 def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
-    """Pairs (pivot u, candidate v) whose sets reach the threshold."""
-    count = pairs.groupBy("u").agg(F.count("*").alias("c"))
+    """Pairs (pivot u, candidate v, the list where they met): links among what the pivots of each list ask for."""
+    records = pairs.select("list", "v").distinct()
+    count = records.groupBy("list").agg(F.count("*").alias("c"))
     salt = F.expr(f"pmod(xxhash64(v), cast(ceil(c / {BLOCK}) as bigint))")
-    salted = settled(pairs.join(count, "u").withColumn("salt", salt).drop("c"))[0]
+    salted = settled(pairs.join(count, "list").withColumn("salt", salt).drop("c"))[0]
     # A few pairs go to the sets, else both are shuffled.
     near = F.broadcast if made <= BROADCAST_ROWS else lambda df: df
-    members = sets.withColumnRenamed("class", "v").join(near(salted), "v").select("u", "salt", F.lit(1).alias("first"), F.col("v").alias("own"), "shingles")
-    own = sets.withColumnRenamed("class", "u").join(near(salted.select("u", "salt").distinct()), "u").select("u", "salt", F.lit(0).alias("first"), F.col("u").alias("own"), "shingles")
-    return members.unionByName(own).repartition("u", "salt").sortWithinPartitions("u", "salt", "first").mapInArrow(tidy(_search), "u long, v long")
+    of = lambda name, asked: sets.withColumnRenamed("class", name).join(near(salted.select("list", "salt", name).distinct()), name).select("list", "salt", F.lit(asked).alias("asked"), F.col(name).alias("own"), "shingles")
+    return of("v", False).unionByName(of("u", True)).repartition("list", "salt").sortWithinPartitions("list", "salt", "asked").mapInArrow(tidy(_search), "u long, v long")
+
+
+def _numbered_apart(scanned: DataFrame, classes: DataFrame) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+    """Gives different sets of one number different numbers: hardly any among 10^10, so they are collected."""
+    twice = classes.where("low != high").select("class")
+    if twice.isEmpty():
+        return scanned, {}
+    some = scanned.join(F.broadcast(twice), "class").select("class", "check").distinct().collect()
+    least = {c: min(k for d, k in some if d == c) for c, _ in some}
+    again = {(c, k): int(mix(np.array([c, k], np.int64).view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) for c, k in some if k != least[c]}
+    names = scanned.sparkSession.createDataFrame([(*k, v) for k, v in again.items()], "class long, check long, new long")
+    return scanned.join(F.broadcast(names), ["class", "check"], "left").withColumn("class", F.coalesce("new", "class")).drop("new"), again
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
-    """One row per input row: doc, mark (hash of the text), n_shingles and component (smallest reachable doc)."""
+    """One row per input row: doc, mark (hash of the text), n_shingles, component (smallest reachable doc) and root (a
+    number of the component, null without shingles)."""
     spark = docs.sparkSession
     prepare(spark)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string").withColumn("mark", F.xxhash64("text"))
     both = durable(rows.mapInArrow(tidy(_scan(size, SKETCH_BITS)), _SCAN))
-    scanned = both.where("part is null").select("doc", "mark", "n", "class")
+    scanned = both.where("part is null").select("doc", "mark", "n", "class", "check")
+    of_class = lambda found: durable(found.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "mark")).alias("r"), F.min("check").alias("low"), F.max("check").alias("high")).select("class", "r.doc", "r.mark", "low", "high"))
+    classes = of_class(scanned)
+    scanned, again = _numbered_apart(scanned, classes)
+    classes = of_class(scanned) if again else classes
     sums = {}
     for r in both.where("part is not null").select("part", "counts").repartition(SKETCH_PARTS, "part").mapInArrow(_add, "part int, counts binary").collect():
         sums[r["part"]] = r["counts"]
     shared = spark.sparkContext.broadcast(_all_ranks(sums))
-    postings = rows.mapInArrow(tidy(_post(size, SKETCH_BITS, shared)), "key long, class long, n int, at int")
+    postings = rows.mapInArrow(tidy(_post(size, SKETCH_BITS, shared, again)), "key long, class long, n int, at int")
     # The top byte of a key is its slot's rank, twelve to a doubling: a heavy list's number of parts follows from it.
     salt = F.expr(f"if(shiftrightunsigned(key, 56) >= {HEAVY_RANK}, pmod(class, shiftleft(1L, cast(least({MAX_PARTS}, 1 + (shiftrightunsigned(key, 56) - {HEAVY_RANK}) div 12) as int))), 0L)")
     lists = postings.repartition("key", salt).sortWithinPartitions("key", "class").mapInArrow(tidy(_lists), "key long, class long, n int, at int")
     lists, _ = settled(lists.withColumn("label", F.col("class")).withColumn("salt", salt))
-    links = _links(rows, scanned.where("n > 0"), lists, size)
+    lists, _ = settled(_roomy(lists))
+    links = _links(rows, classes, lists, size, again)
 
-    rooted = scanned.withColumn("root", F.col("class"))
+    rooted = scanned.drop("check").withColumn("root", F.col("class"))
     if links is not None:
         roots, named = settled(components(links).select(F.col("node").alias("class"), F.col("root").alias("top")))
         roots = F.broadcast(roots) if named <= BROADCAST_ROWS else roots
@@ -416,5 +466,5 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     full = rooted.where("n > 0")
     least = salted_totals(full, "root", "doc", {"component": F.col("doc")}, how=F.min)
     full = full.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64))).join(least, (F.col("root") == F.col("total_key")) & (F.col("salt") == F.col("total_salt")))
-    out = full.select("doc", "mark", F.col("n").alias("n_shingles"), "component")
-    return out.unionByName(scanned.where("n = 0").select("doc", "mark", F.col("n").alias("n_shingles"), F.col("doc").alias("component")))
+    out = full.select("doc", "mark", F.col("n").alias("n_shingles"), "component", "root")
+    return out.unionByName(scanned.where("n = 0").select("doc", "mark", F.col("n").alias("n_shingles"), F.col("doc").alias("component"), F.lit(None).cast("long").alias("root")))

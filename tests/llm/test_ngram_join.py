@@ -76,6 +76,76 @@ def test_against_brute_force(spark, monkeypatch, seed, bits):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_sets_of_one_number_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(m, "class_of", lambda own: len(own) % 7 + 1 if len(own) else 0)
+    monkeypatch.setattr(m, "renumbered", lambda own, number, again, shared: again.get((number, m.check_of(own)), number) if number in shared else number)
+    rows = list(enumerate(corpus(5, 150)))
+    rows_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # Workers load the module afresh, so the weak number is made in the plan's own functions.
+    scanned = spark.createDataFrame([(i, i, len(o), m.class_of(o), m.check_of(o)) for i, t in rows for _, o in m.shingle_sets(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), 5)], "doc long, mark long, n long, class long, check long")
+    classes = scanned.where("n > 0").groupBy("class").agg({"check": "min"}).withColumnRenamed("min(check)", "low").join(scanned.groupBy("class").agg({"check": "max"}).withColumnRenamed("max(check)", "high"), "class")
+    apart, again = m._numbered_apart(scanned, classes)
+    by = {}
+    for r in apart.where("n > 0").collect():
+        by.setdefault(r["class"], set()).add(r["check"])
+    assert again and all(len(v) == 1 for v in by.values()) and len(by) == len({c for v in by.values() for c in v})
+    twice = {c for c, _ in again}
+    for _, t in rows:
+        for _, o in m.shingle_sets(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), 5):
+            assert not len(o) or m.check_of(o) in by[m.renumbered(o, m.class_of(o), again, twice)]
+    assert rows_.count() == len(rows)
+
+
+def test_long_words_that_look_alike(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"x y {word} z w"), (2, f"x y {word.translate(str.maketrans('ab', 'ba'))} z w")]
+    got = m.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc"], r["component"]) for r in got) == [(1, 1), (2, 2)]
+
+
+def test_shared_passages_below_the_threshold_leave_no_pairs(spark, monkeypatch):
+    """Own words and a footer that all share: no links, and no posting of the footer's lists is left."""
+    monkeypatch.setattr(m, "FREQUENT", 2)
+    rnd = random.Random(4)
+    footer = " ".join(f"f{i}" for i in range(80))
+    rows = [(i, " ".join(f"w{rnd.randrange(10**9)}" for _ in range(24)) + " " + footer) for i in range(400)]
+    rows += [(1000 + i, " ".join(f"v{rnd.randrange(10**9)}" for _ in range(6)) + " " + footer) for i in range(4)]  # linked
+    seen = []
+    kept = m._roomy
+    monkeypatch.setattr(m, "_roomy", lambda lists: seen.append(kept(lists)) or seen[-1])
+    got = m.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r["doc"], r["component"]) for r in got) == [(i, min(i, 1000)) for i, _ in rows]
+    assert {r["n"] for r in seen[0].select("n").distinct().collect()} <= {82}
+
+
+def test_postings_of_heavy_lists_keep_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(m, "HEAVY_RANK", 0)
+    rnd = random.Random(7)
+    rows = []
+    for i in range(300):
+        n = rnd.choice([5, 20, 60, 70, 100, 130, 400])
+        rows.append((rnd.randint(0, 12), i, n, rnd.randint(0, n - -(-3 * n // 4)), i, rnd.randint(0, 3)))
+    kept = {(r["key"], r["class"]) for r in m._roomy(spark.createDataFrame(rows, "key long, class long, n int, at int, label long, salt long")).collect()}
+    for k, a, n, at, *_ in rows:
+        for l, b, o, bt, *_ in rows:
+            if k == l and a != b and 4 * min(n, o) >= 3 * max(n, o) and 7 * min(n - at, o - bt) >= 3 * (n + o):
+                assert (k, a) in kept and (l, b) in kept
+
+
+@pytest.mark.parametrize("room", [0, 8])
+def test_without_broadcasts_and_with_full_filters(spark, monkeypatch, room):
+    """Beyond every bound the result is the same: narrow joins by shuffles, a filter that lets strangers pass."""
+    from loomlog.llm import membership
+
+    monkeypatch.setattr(m, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(membership, "BITS", room / 8)
+    rows = [(i if i % 45 else None, t) for i, t in enumerate(corpus(9, 250))]
+    got = m.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).select("doc", "n_shingles", "component").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_empty(spark):
     assert m.jaccard_components(spark.createDataFrame([], SCHEMA)).collect() == []
     got = m.jaccard_components(spark.createDataFrame([(3, None, 1, "", 1, "", 1, ""), (1, "a", 1, "", 1, "", 1, "")], SCHEMA)).collect()
