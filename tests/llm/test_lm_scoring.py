@@ -55,13 +55,126 @@ def test_base_score_and_model(spark, monkeypatch, lookup):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def xlogx(x):
+    return x * math.log(x) if x > 0 else 0.0
+
+
+def brute_scores(rows):
+    """The whole model from counts in dictionaries, given the exchange of the symbols and the hashes of the words."""
+    import pyarrow as pa
+
+    texts = []
+    for i, t in rows:
+        batch = pa.RecordBatch.from_arrays([pa.array([i], type=pa.int64()), pa.array([t], type=pa.string())], names=["doc", "text"])
+        found = [(word.tolist(), group.tolist()) for _, _, word, group, _ in m.tokens(batch)]
+        word, group = found[0] if found else ([], [])
+        texts.append((i, m.held_out(i), list(zip(word, group))))
+    c = Counter(w for _, held, t in texts if not held for w, _ in t)
+    order = sorted(c, key=lambda w: (-c[w], w))
+    head = {w: k for k, w in enumerate(sorted(order[: m.HEAD]))}
+    symbol = lambda w, e: head.get(w, m.HEAD + e)
+    counts = np.zeros((m.SYMBOLS, m.SYMBOLS))
+    for _, held, t in texts:
+        if not held:
+            line = [m._END, *(symbol(*x) for x in t), m._END]
+            for a, b in zip(line, line[1:]):
+                counts[a, b] += 1
+    g = m.exchange(counts)
+    before, first, ends = {}, {}, Counter()
+    for _, held, t in texts:
+        if not held:
+            last = m._END
+            for w, e in t:
+                before.setdefault(w, Counter())[int(g[last])] += 1
+                first[w] = int(g[symbol(w, e)])
+                last = symbol(w, e)
+            ends[int(g[last])] += 1
+    h = dict(first)
+
+    def tables():
+        pairs = np.zeros((m.CLASSES, m.CLASSES))
+        for w, own in before.items():
+            for k, n in own.items():
+                pairs[k, h[w]] += n
+        for k, n in ends.items():
+            pairs[k, 0] += n
+        return pairs
+
+    gain = []
+    for turn in range(m.WORD_ROUNDS):
+        pairs = tables()
+        size = pairs.sum(axis=0)
+        gain.append(sum(map(xlogx, pairs.ravel())) - sum(map(xlogx, size)))
+        new = {}
+        for w, own in before.items():
+            old = h[w]
+            new[w] = old
+            if int(m.mix(np.array([w], np.int64).view(np.uint64))[0] >> np.uint64(40)) & 1 != turn % 2:
+                continue
+            best = sum(xlogx(pairs[k, old]) - xlogx(pairs[k, old] - n) for k, n in own.items()) - xlogx(size[old]) + xlogx(size[old] - c[w]) + 1e-9
+            for d in range(1, m.CLASSES):
+                value = sum(xlogx(pairs[k, d] + n) - xlogx(pairs[k, d]) for k, n in own.items()) - xlogx(size[d] + c[w]) + xlogx(size[d])
+                if d != old and value > best:
+                    best, new[w] = value, d
+        h = new
+    pairs = tables()
+    size = pairs.sum(axis=0)
+    gain.append(sum(map(xlogx, pairs.ravel())) - sum(map(xlogx, size)))
+    kinds = Counter(h.values())
+    unigram = (size + 1) / (size + 1).sum()
+    step = lambda a, b: math.log10((pairs[a, b] + m.BACKOFF * unigram[b]) / (pairs[a].sum() + m.BACKOFF))
+    out = []
+    for i, _, t in texts:
+        last, score = m._END, 0.0
+        for w, e in t:
+            own = h.get(w, int(g[symbol(w, e)]))
+            score += step(int(g[last]), own) + math.log10((c[w] + 0.5) / (size[own] + 0.5 * (kinds[own] + 1)))
+            last = symbol(w, e)
+        out.append((i, round(score + step(int(g[last]), 0), 4)))
+    return out, gain
+
+
+@pytest.mark.parametrize("lookup", [30, 1 << 18])
+def test_scores_against_brute_force(spark, monkeypatch, lookup):
+    monkeypatch.setattr(m, "LOOKUP", lookup)
+    rows = [r for r in data() if len(r[1] or "") < 10_000]
+    want, gain = brute_scores(rows)
+    got = m.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    have = sorted(((str(r["doc"]), r["score"]) for r in got), key=lambda x: (x[0], round(x[1], 2)))
+    want = sorted(((str(i), x) for i, x in want), key=lambda x: (x[0], round(x[1], 2)))
+    assert [x[0] for x in have] == [x[0] for x in want]
+    assert max(abs(a[1] - b[1]) for a, b in zip(have, want)) < 2e-3
+    assert gain[-1] > gain[0]  # the exchange over the vocabulary raises the likelihood
+
+
+def test_probabilities_sum_to_one():
+    rnd = np.random.default_rng(3)
+    pairs = rnd.poisson(4.0, (m.CLASSES, m.CLASSES)).astype(float)
+    kinds = rnd.integers(0, 9, m.CLASSES).astype(float)
+    step, share = m.class_model(pairs, kinds)
+    assert np.allclose((10**step).sum(axis=1), 1)
+    size = pairs.sum(axis=0)
+    for k in range(m.CLASSES):  # the words of a class, however its count is dealt among them, and one unseen word
+        c = rnd.multinomial(int(size[k]), np.ones(int(kinds[k])) / kinds[k]) if kinds[k] else np.zeros(0)
+        if kinds[k]:
+            assert ((c + 0.5) / share[k]).sum() + 0.5 / share[k] == pytest.approx(1)
+
+
+def test_the_most_frequent_words_are_never_none(spark):
+    words = spark.range(5000).selectExpr("id as word", "if(id < 10, 100L + id, 7L) as c")
+    for limit in (8, 10, 200, 4000, 9000):
+        got = m.most_frequent(words, limit)
+        assert 0 < got.num_rows <= limit and got.column("c").to_pylist() == sorted(got.column("c").to_pylist(), reverse=True)
+        assert limit < 10 or got.column("c").to_pylist()[:10] == list(range(109, 99, -1))
+
+
 def test_scores_do_not_depend_on_the_lookup(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, 1, "w", 1, "d") for i, t in data()], SCHEMA).repartition(3)
     monkeypatch.setattr(m, "HEAD", 20)  # on the driver: the same few symbols either way
     found = []
     for lookup in (60, 1 << 18):
         monkeypatch.setattr(m, "LOOKUP", lookup)
-        found.append(sorted((str(r["doc"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in m.score_documents(df).collect()))
+        found.append(sorted((str(r["doc"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in m.score_documents(df).collect()))
     assert found[0] == found[1]
 
 
@@ -72,11 +185,6 @@ def test_exchange_raises_the_likelihood():
     before = likelihood(counts, np.append(1 + np.arange(29) % 4, 0))
     label = m.exchange(counts, classes=5, rounds=6)
     assert label[-1] == 0 and (label[:-1] > 0).all() and likelihood(counts, label) > before
-    step, emit = m.class_tables(counts, label, 5)
-    used = np.unique(label)
-    assert np.allclose((10 ** step[:, used]).sum(axis=1)[used], 1)
-    for k in used:
-        assert (10 ** emit[label == k]).sum() == pytest.approx(1)
     # One more round from any single change does not find a better class for that word.
     best = likelihood(counts, label)
     for w in range(29):
