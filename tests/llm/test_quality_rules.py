@@ -52,5 +52,12 @@ def test_order_is_rejection_per_cost(spark):
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id as doc", "text")
     found = estimate(sample_of(docs), RULES)
     assert {e.rule for e in found} == set(RULES) and [e.worth for e in found] == sorted((e.worth for e in found), reverse=True)
+    assert [e.rule for e in estimate(sample_of(docs.repartition(3)), RULES)] == [e.rule for e in found]  # the same in every run
+    mean = docs.selectExpr("avg(octet_length(coalesce(text, '')))").first()[0]
+    cost = {e.rule.name: e.cost for e in found}
+    assert cost["symbols"] == 16 and cost["digits"] == cost["capitals"] and abs(cost["digits"] - 8 - mean) < 1e-6 * mean
+    share = {e.rule.name: e.rejected for e in found}
+    rules = {r.name: sum(r_ is True for r_ in [x[0] for x in sample_of(docs).selectExpr(r.rejects).collect()]) for r in RULES}
+    assert all(abs(share[k] - n / len(rows)) < 0.02 for k, n in rules.items())
     got = docs.selectExpr("doc", "doc as n").select(cascade([Rule("x", "n > 5"), Rule("y", "n > 3")]).alias("r"), "n").collect()
     assert all(r["r"] == ("x" if r["n"] > 5 else "y" if r["n"] > 3 else None) for r in got)
