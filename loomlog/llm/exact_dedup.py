@@ -29,15 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlog.llm.common import durable, lowered, pick, prepare, tidy, utf8
+from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, tidy, utf8
 from loomlog.llm.membership import Members, key, may_hold
 
 #: Limits of a memtable in the scan: entries (rows) and bytes of text kept for verification.
 MEMTABLE_ROWS, MEMTABLE_BYTES = 200_000, 64 << 20
 #: Rows of a memtable of the index, and runs that are merged at a time.
 INDEX_ROWS, FANOUT = 50_000, 8
-#: Member lists of one digest go to so many tasks.
-SALTS = 64
+#: Member lists of one digest go to so many tasks, and its representatives where they are more than HOT.
+SALTS, HOT = 64, 256
 
 _RUN = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("run", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sha", T.BinaryType()), T.StructField("members", T.ArrayType(T.LongType())), T.StructField("marks", T.ArrayType(T.LongType()))])
 _LAST = np.iinfo(np.int64).max
@@ -206,7 +206,7 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (digest, salt, run, text) sorted by digest and salt -> the different texts of each, with their runs."""
+    """Rows (digest, salt, run, text) sorted by digest and salt -> the different normalised texts of each, with their runs."""
     here, texts = None, {}
 
     def out() -> pa.RecordBatch:
@@ -216,7 +216,10 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(values, kinds)], names=["digest", "first", "runs", "text"])
 
     for batch in batches:
-        for digest, salt, run, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        raw, at = utf8(batch.column(3))
+        data, at = lowered(raw).tobytes(), at.tolist()
+        for digest, salt, run, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), at, at[1:]):
+            text = data[a:b]
             if (digest, salt) != here:
                 if here:
                     yield out()
@@ -241,14 +244,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=k) for i, k in enumerate((pa.binary(), pa.int64(), pa.int64()))], names=["digest", "run", "variant"])
 
 
-def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, at = utf8(batch.column("text"))
-        data = lowered(raw).tobytes()
-        at = at.tolist()
-        yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("salt"), batch.column("run"), pa.array([data[a:b] for a, b in zip(at, at[1:])], type=pa.binary())], names=["digest", "salt", "run", "text"])
-
-
 def _index(runs: DataFrame) -> DataFrame:
     return runs.select("digest", "key", "run", "n").repartition("digest").mapInArrow(tidy(_compact), "digest binary, key long, run long, total long, entries long")
 
@@ -266,17 +261,23 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # Byte verification of hits between runs; each entry is represented by its smallest identifier.
     back = F.bitwise_not("key") if largest else F.col("key")
-    hits = runs.join(index.where("entries > 1").select("digest"), "digest", "left_semi")
-    hits = durable(hits.select("run", F.when(F.col("key") != _LAST, back).alias("doc"), F.col("sha").alias("own")))
+    hits = runs.join(index.where("entries > 1").select("digest", (F.col("entries") > HOT).alias("hot")), "digest")
+    hits = durable(hits.select("run", "hot", F.when(F.col("key") != _LAST, back).alias("doc"), F.col("sha").alias("own")))
     if n := hits.count():
         # A filter of the hits' identifiers and texts finds their rows; the join tells which run each belongs to.
         sha = F.unhex(F.sha2(F.coalesce(_lower("text"), F.lit("")), 256))
         some = may_hold(rows, Members(hits.select(key("doc").alias("k")).select("k.a", "k.b"), n), "doc").withColumn("sha", sha)
         hits = hits.withColumnRenamed("doc", "of")
-        texts = some.join(hits, (F.col("sha") == F.col("own")) & F.col("doc").eqNullSafe(F.col("of"))).select(F.substring("own", 1, digest_bytes).alias("digest"), F.pmod(F.shiftright("run", 36), F.lit(SALTS)).alias("salt"), "run", "text")
-        texts = texts.mapInArrow(tidy(_normal), "digest binary, salt long, run long, text binary")
-        texts = texts.repartition("digest", "salt").sortWithinPartitions("digest", "salt").mapInArrow(_distinct, "digest binary, first long, runs array<long>, text binary")
-        variants = durable(texts.repartition("digest").sortWithinPartitions("digest", "first").mapInArrow(_compare, "digest binary, run long, variant long").distinct())
+        near = F.broadcast(hits) if n <= BROADCAST_ROWS else hits
+        salt = F.when(F.col("hot"), F.pmod(F.shiftright("run", 36), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+        texts = some.join(near, (F.col("sha") == F.col("own")) & F.col("doc").eqNullSafe(F.col("of"))).select(F.substring("own", 1, digest_bytes).alias("digest"), salt.alias("salt"), "run", "text", "hot")
+        found = lambda rows: rows.select("digest", "salt", "run", "text").repartition("digest", "salt").sortWithinPartitions("digest", "salt", "run").mapInArrow(tidy(_distinct), "digest binary, first long, runs array<long>, text binary")
+        compared = lambda rows: rows.mapInArrow(_compare, "digest binary, run long, variant long")
+        # All of a digest's texts meet at once; those of a hot one by salt, and then the different ones of each salt.
+        variants = compared(found(texts.where("not hot")))
+        if not hits.where("hot").isEmpty():
+            variants = variants.unionByName(compared(found(texts.where("hot")).repartition("digest").sortWithinPartitions("digest", "first")))
+        variants = durable(variants.distinct())
         if not variants.isEmpty():
             variant = F.coalesce(F.col("variant"), F.lit(0)).cast("string").cast("binary")
             runs = runs.join(variants, ["digest", "run"], "left").withColumn("digest", F.unhex(F.sha2(F.concat("digest", variant), 256))).drop("variant")

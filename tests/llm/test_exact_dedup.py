@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from loomlog.llm import exact_dedup as m
 from loomlog.llm.exact_dedup import exact_duplicates
 
 SCHEMA = "doc_id long, text string, run int, sha string, digest string"
@@ -68,3 +69,13 @@ def test_memtable_flushes(spark, monkeypatch):
         seen[d] = (*min(old[:2], (k, i)), old[2] + 2, old[3] + 1)
     found = {int(w[0]): tuple(map(int, v)) for run in index.final() for w, v in zip(run.words, run.values)}
     assert found == seen and sum(len(r.words) for r in index.final()) == len(seen)
+
+
+@pytest.mark.parametrize("hot", [1, 256])
+def test_colliding_digests_of_hot_groups(spark, monkeypatch, hot):
+    """Digests of one byte, representatives dealt by salt or not: groups are those of the texts."""
+    monkeypatch.setattr(m, "HOT", hot)
+    monkeypatch.setattr(m, "BROADCAST_ROWS", 0 if hot == 1 else 200_000)
+    rows = [(i, f"Text {i % 300}" if i % 2 else f"tEXT {i % 300}") for i in range(3000)]
+    got = m.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), digest_bytes=1).collect()
+    assert sorted((r["doc"], r["keep"], r["group_size"], r["kept"]) for r in got) == [(i, i % 300, 10, i < 300) for i in range(3000)]
