@@ -42,7 +42,7 @@ from loomlog.llm.hashing import mix, range_hashes
 #: Symbols of the context map (words, endings), classes of each map, counts that are broadcast.
 HEAD, GROUPS, CLASSES, LOOKUP = 768, 128, 48, 1 << 18
 #: Rounds of the exchange on the driver and of the one over the vocabulary, and the weight of the class unigram.
-ROUNDS, WORD_ROUNDS, BACKOFF = 8, 4, 20.0
+ROUNDS, WORD_ROUNDS, BACKOFF = 8, 2, 20.0
 #: Words whose counts a task holds before it folds them, bytes of text taken at a time.
 FOLD, PIECE = 2_000_000, 2 << 20
 
@@ -203,11 +203,14 @@ def _contexts(model):
         kind = np.dtype([("word", "i8"), ("first", "u1"), ("before", "u1"), ("n", "i8")])
 
         def fold() -> np.ndarray:
-            rows = np.concatenate(held)
-            rows = rows[np.lexsort((rows["before"], rows["word"]))]
-            at = np.flatnonzero(np.append(True, (rows["word"][1:] != rows["word"][:-1]) | (rows["before"][1:] != rows["before"][:-1]))[: len(rows)])
-            out = rows[at].copy()
-            out["n"] = np.add.reduceat(rows["n"], at) if len(at) else 0
+            rows = np.concatenate(held) if len(held) > 1 else held[0]
+            # Word and class as one hash, so that a single key is sorted.
+            both = mix(rows["word"].view(np.uint64) + rows["before"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            order = np.argsort(both)
+            both = both[order]
+            at = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(rows)])
+            out = rows[order[at]]
+            out["n"] = np.add.reduceat(rows["n"][order], at) if len(at) else 0
             return out
 
         def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -246,12 +249,10 @@ _VECTORS = "word long, c long, first short, before array<short>, n array<long>"
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by word -> one row for each word, with the classes before it and how often each."""
+    """Contexts sorted by word and class before -> one row for each word, with the classes before it and how often each."""
     names = [x.split(" ")[0] for x in _VECTORS.split(", ")]
 
     def out(word, first, before, n) -> pa.RecordBatch:
-        order = np.lexsort((before, word))
-        word, first, before, n = word[order], first[order], before[order], n[order]
         at = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (before[1:] != before[:-1]))[: len(word)])
         word, first, before, n = word[at], first[at], before[at], np.add.reduceat(n, at)
         start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
@@ -290,15 +291,34 @@ def moved(word: np.ndarray, c: np.ndarray, label: np.ndarray, at: np.ndarray, be
     column, times = pairs[pair >> 40], (pair & ((1 << 40) - 1)).astype(float)[:, None]
     total, mine = np.unique(c, return_inverse=True)
     total = total.astype(float)[:, None]
-    into = np.add.reduceat((_xlogx(column + times) - _xlogx(column))[own], at[:-1]) - (_xlogx(size + total) - _xlogx(size))[mine]
-    rows = np.arange(len(word))
-    out_of = (_xlogx(column) - _xlogx(np.maximum(column - times, 0)))[own, np.repeat(label, np.diff(at))]
-    stay = np.add.reduceat(out_of, at[:-1]) - (_xlogx(size) - _xlogx(np.maximum(size - total, 0)))[mine, label]
-    into[:, 0] = -np.inf  # the end's own class
-    into[rows, label] = stay
-    best = into.argmax(axis=1)
+    gain, loss = _xlogx(column + times) - _xlogx(column), _xlogx(column) - _xlogx(np.maximum(column - times, 0))
+    more, less = _xlogx(size + total) - _xlogx(size), _xlogx(size) - _xlogx(np.maximum(size - total, 0))
+
+    def best_of(into: np.ndarray, stay: np.ndarray, label: np.ndarray) -> np.ndarray:
+        rows = np.arange(len(label))
+        into[:, 0] = -np.inf  # the end's own class
+        into[rows, label] = stay
+        best = into.argmax(axis=1)
+        return np.where(into[rows, best] > stay + 1e-9, best, label)
+
+    out = label.copy()
+    alone = np.diff(at) == 1
+    # Most words follow a single class: of those with equal counts and class one is looked at.
+    one = np.flatnonzero(alone)
+    kind, where = np.unique(own[at[one]] * CLASSES + label[one], return_inverse=True)
+    k, l = kind // CLASSES, kind % CLASSES
+    of = np.searchsorted(total[:, 0], times[k, 0])  # such a word's count is that of its only class
+    out[one] = best_of(gain[k] - more[of], loss[k, l] - less[of, l], l)[where]
+    many = np.flatnonzero(~alone)
+    if len(many):
+        n_of = at[many + 1] - at[many]
+        start = np.append(0, np.cumsum(n_of)[:-1])
+        each = own[np.repeat(at[many] - start, n_of) + np.arange(n_of.sum())]
+        into = np.add.reduceat(gain[each], start) - more[mine[many]]
+        stay = np.add.reduceat(loss[each, np.repeat(label[many], n_of)], start) - less[mine[many], label[many]]
+        out[many] = best_of(into, stay, label[many])
     allowed = ((mix(word.view(np.uint64)) >> np.uint64(40)) & np.uint64(1)).astype(np.int64) == turn % 2
-    return np.where(allowed & (into[rows, best] > stay + 1e-9), best, label)
+    return np.where(allowed, out, label)
 
 
 def _labelled(batch: pa.RecordBatch, rounds: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -450,7 +470,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The map h of the whole vocabulary.
     model = spark.sparkContext.broadcast({"head": head, "ids": ids, "label": label})
     contexts = rows.mapInArrow(tidy(_contexts(model)), "word long, first short, before short, n long")
-    sorted_ = contexts.repartition("word").sortWithinPartitions("word")
+    sorted_ = contexts.repartition("word").sortWithinPartitions("word", "before")
     # A null word is an end: these few counts come out as rows of their own.
     found = durable(sorted_.mapInArrow(tidy(_with_ends_apart), _VECTORS))
     ends = np.zeros(CLASSES)
@@ -460,7 +480,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vectors = found.where("word is not null")
     rounds, pairs, kinds = exchange_words(vectors, ends)
     step, share = class_model(pairs, kinds)
-    classes = vectors.mapInArrow(tidy(_classes(rounds)), "word long, c long, h short")
+    classes = durable(vectors.mapInArrow(tidy(_classes(rounds)), "word long, c long, h short"))
 
     often = most_frequent(classes, LOOKUP)
     by_word = np.argsort(often.column("word").to_numpy())
