@@ -16,7 +16,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,12 +86,12 @@ class Members:
         """Whether the filter has its bits for each key, so that hardly any stranger passes."""
         return self.n * BITS <= 2 * 8 * FILTER_BYTES
 
-    def test(self, strangers=None):
-        """A function over columns a, b: whether the filter lets the key pass and it isn't one of the listed strangers."""
+    def passing(self, strangers=None):
+        """A function over arrays a, b: whether the filter lets the key pass and it isn't one of the listed strangers."""
         shared, segments, bits = self.shared, self.segments, self.bits
 
-        def passes(a: pd.Series, b: pd.Series) -> pd.Series:
-            table, x, y = shared.value, _unsigned(a), _unsigned(b)
+        def passes(a: pa.Array, b: pa.Array) -> pa.Array:
+            table, x, y = shared.value, _unsigned(a.to_numpy(zero_copy_only=False)), _unsigned(b.to_numpy(zero_copy_only=False))
             own, out = _segment(y, segments), np.ones(len(x), dtype=bool)
             for at in _probes(x, y, bits):
                 out &= (table[own, (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -101,9 +100,13 @@ class Members:
                 for i in np.flatnonzero(out).tolist():
                     lo, hi = np.searchsorted(listed["a"], x[i], "left"), np.searchsorted(listed["a"], x[i], "right")
                     out[i] = not (hi > lo and (listed["b"][lo:hi] == y[i]).any())
-            return pd.Series(out)
+            return pa.array(out)
+
+        return passes
 
-        return F.pandas_udf(passes, "boolean")
+    def test(self, strangers=None):
+        """The same over columns. Arrow arrays go to the workers and back, so these need no pandas."""
+        return F.arrow_udf(self.passing(strangers), "boolean")
 
     def free(self) -> None:
         self.shared.unpersist()

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of, written
 from loomlog.llm.components import components
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
-from loomlog.llm.membership import Members, key, may_hold
+from loomlog.llm.membership import Members, key
 
 #: Words of a shingle; the threshold is NUM / DEN.
 WORDS, NUM, DEN = 5, 3, 4
@@ -82,14 +82,21 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, size: int) -> Iterator[tuple[i
         lo = hi
 
 
+def numbers_of(own: np.ndarray) -> tuple[int, int]:
+    """A number for a set and another, independent one: equal sets have equal numbers."""
+    if not len(own):
+        return 0, 0
+    mixed = mix(own)
+    again = (mixed ^ (mixed >> np.uint64(29))) * (mixed | np.uint64(1))
+    return int((mixed.sum(dtype=np.uint64) ^ np.uint64(len(own) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)), int(again.sum(dtype=np.uint64).view(np.int64))
+
+
 def class_of(own: np.ndarray) -> int:
-    """A number for a set: equal sets have equal numbers."""
-    return int((mix(own).sum(dtype=np.uint64) ^ np.uint64(len(own) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)) if len(own) else 0
+    return numbers_of(own)[0]
 
 
 def check_of(own: np.ndarray) -> int:
-    """Another number, independent of the first."""
-    return int(mix(mix(own) + np.uint64(0xD1342543DE82EF95)).sum(dtype=np.uint64).view(np.int64)) if len(own) else 0
+    return numbers_of(own)[1]
 
 
 def renumbered(own: np.ndarray, number: int, again: dict[tuple[int, int], int], shared: set[int]) -> int:
@@ -107,10 +114,10 @@ def _scan(size: int, bits: int):
         for batch in batches:
             sizes, classes, checks = [], [], []
             for _, own in shingle_sets(*utf8(batch.column("text")), size):
-                c = class_of(own)
+                c, check = numbers_of(own)
                 sizes.append(len(own))
                 classes.append(c)
-                checks.append(check_of(own))
+                checks.append(check)
                 if c not in seen:
                     seen.add(c)
                     np.add.at(sketch, (own >> np.uint64(64 - bits)).astype(np.int64), 1)
@@ -329,13 +336,15 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
-def _sets(size: int, again: dict[tuple[int, int], int]):
+def _sets(size: int, again: dict[tuple[int, int], int], passes):
+    """Sets of the rows whose key (a, b) the filter lets pass, in the worker that makes them."""
     twice = {c for c, _ in again}
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # rows that are repeated
         for batch in batches:
             classes, data = [], []
+            batch = batch.filter(passes(batch.column("a"), batch.column("b")))
             for _, own in shingle_sets(*utf8(batch.column("text")), size):
                 if len(own) and (c := renumbered(own, class_of(own), again, twice)) not in seen:
                     seen.add(c)
@@ -373,8 +382,8 @@ def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, aga
     if not n:
         return None
     # What passes besides the wanted rows is a set that no pair asks for.
-    texts = may_hold(rows, Members(best, n), "doc", "mark").select("text")
-    sets = durable(texts.mapInArrow(tidy(_sets(size, again)), "class long, shingles binary"))
+    keyed = rows.withColumn("k", key("doc", "mark")).select("k.a", "k.b", "text")
+    sets = durable(keyed.mapInArrow(tidy(_sets(size, again, Members(best, n).passing())), "class long, shingles binary"))
 
     links = done = None
     low, high, active = 0, 1, lists
