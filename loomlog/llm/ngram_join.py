@@ -15,7 +15,7 @@
    when its classes are in one component or all its pairs were made: large groups of near copies collapse after
    their first pivots instead of meeting pair by pair, and no link between components is lost.
 4. T-occurrence search: the classes that a list's pivots ask for are the records of inverted lists over their whole
-   sets (blocks of about BLOCK records), and all of the list's pivots are searched in them by DivideSkip: short
+   sets (blocks of about BLOCK records), and the list's pivots are searched in them by DivideSkip: short
    inverted lists are merged by a heap, the long ones are probed by binary search for what the heap counted often
    enough, and classes that reach the overlap are links.
 5. Components of the links, and the smallest document of each.
@@ -421,10 +421,10 @@ def _open(lists: DataFrame, done: int) -> DataFrame:
 
 def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
     """Pairs (pivot u, candidate v, the list where they met): links among what the pivots of each list ask for."""
-    records = pairs.select("list", "v").distinct()
-    count = records.groupBy("list").agg(F.count("*").alias("c"))
-    salt = F.expr(f"pmod(xxhash64(v), cast(ceil(c / {BLOCK}) as bigint))")
-    salted = settled(pairs.join(count, "list").withColumn("salt", salt).drop("c"))[0]
+    # Blocks of a list hold about BLOCK of its records and as many of its pivots.
+    count = pairs.groupBy("list").agg(*[F.greatest(F.lit(1), F.expr(f"cast(ceil(approx_count_distinct({c}) / {BLOCK}) as bigint)")).alias(f"of_{c}") for c in ("u", "v")])
+    salt = F.expr("pmod(xxhash64(v), of_v) + of_v * pmod(xxhash64(u), of_u)")
+    salted = settled(pairs.join(count, "list").withColumn("salt", salt).drop("of_u", "of_v"))[0]
     # A few pairs go to the sets, else both are shuffled.
     near = F.broadcast if made <= BROADCAST_ROWS else lambda df: df
     of = lambda name, asked: sets.withColumnRenamed("class", name).join(near(salted.select("list", "salt", name).distinct()), name).select("list", "salt", F.lit(asked).alias("asked"), F.col(name).alias("own"), "shingles")
