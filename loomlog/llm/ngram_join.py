@@ -372,7 +372,7 @@ def _roomy(lists: DataFrame) -> DataFrame:
     whole = whole.groupBy("key").agg(F.collect_list(F.struct("bucket", "low", "high", "c")).alias("sizes"), F.array_distinct(F.flatten(F.collect_list("salts"))).alias("salts"))
     room = F.exists("sizes", lambda x: (x["low"] <= F.col("most")) & (x["high"] >= F.col("n")) & ((x["bucket"] != F.col("bucket")) | (x["c"] > 1)))
     kept = many.join(whole.select("key", "sizes", F.explode("salts").alias("salt")), ["key", "salt"]).where(room)
-    return lists.where(~is_heavy).unionByName(kept.select(*lists.columns))
+    return lists.where(~is_heavy).unionByName(settled(kept.select(*lists.columns))[0])
 
 
 def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, again: dict) -> DataFrame | None:
@@ -463,8 +463,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # The top byte of a key is its slot's rank, twelve to a doubling: a heavy list's number of parts follows from it.
     salt = F.expr(f"if(shiftrightunsigned(key, 56) >= {HEAVY_RANK}, pmod(class, shiftleft(1L, cast(least({MAX_PARTS}, 1 + (shiftrightunsigned(key, 56) - {HEAVY_RANK}) div 12) as int))), 0L)")
     lists = postings.repartition("key", salt).sortWithinPartitions("key", "class").mapInArrow(tidy(_lists), "key long, class long, n int, at int")
-    lists, _ = settled(lists.withColumn("label", F.col("class")).withColumn("salt", salt))
-    lists, _ = settled(_roomy(lists))
+    # The largest intermediate result: a table is smaller than a checkpoint.
+    lists = _roomy(written(lists.withColumn("label", F.col("class")).withColumn("salt", salt)))
     links = _links(rows, classes, lists, size, again)
 
     rooted = scanned.drop("check").withColumn("root", F.col("class"))
