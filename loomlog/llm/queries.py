@@ -58,6 +58,22 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+OP5_SQL = rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+n as (select doc_id, list_sort(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end) as sh from d),
+c as (select row_number() over () as c, sh, len(sh) as n, min(doc_id) as least from n where len(sh) > 0 group by sh),
+p as (select c, n, unnest(sh) as g from c),
+l as (select a.c as a, b.c as b from p a join p b on a.g = b.g and a.c < b.c and 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+      group by a.c, b.c, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e as (select a, b from l union all select b, a from l),
+r as (select c as a, c as b from c union select r.a, e.b from r join e on r.b = e.a),
+k as (select r.a as c, min(c.least) as component from r join c on r.b = c.c group by r.a)
+select n.doc_id, cast(len(n.sh) as bigint) as n_shingles, coalesce(k.component, n.doc_id) as component_id
+from n left join c on n.sh = c.sh left join k on c.c = k.c
+"""
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomlog.llm.quality_rules import quality_rules
 
@@ -131,4 +147,4 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op6_quality_rules": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op5_ngram_join": OP5_SQL, "op6_quality_rules": OP6_SQL, "op10_exact_dedup": OP10_SQL}
