@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -94,3 +96,95 @@ def test_pages(spark):
     assert "class" not in found["text"] and "das" not in found["text"] and found["suffix"] in ("com", "fr", "de") and found["host"].startswith(found["declared"])
     got = m.identify(m.from_pages(spark.createDataFrame(data, "page_id long, url string, html string"))).collect()
     assert len(got) == 302 and sum(r["lang"] == r["declared"] for r in got) >= 299
+
+
+def brute_force(evidence, least=0.5):
+    """The same posterior row by row: evidence and result are lists of (text, declared, suffix, host) and (lang, confidence, text_lang)."""
+
+    def cells(text):
+        raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+        for three in zip(raw, raw[1:], raw[2:]):
+            if any(97 <= b <= 122 or b >= 128 for b in three) and not any(48 <= b <= 57 for b in three):
+                yield ((three[0] << 16 | three[1] << 8 | three[2]) * 2654435761 % 2**32) >> 16
+
+    labelled = [(d, t) for t, d, _, _ in evidence if d and t is not None]
+    model = {}
+    for lang in sorted({d for d, _ in labelled}):
+        seen = Counter(c for d, t in labelled if d == lang for c in cells(t))
+        if sum(seen.values()) >= m.LEAST_TRIGRAMS or sum(d == lang for d, _ in labelled) >= m.LEAST_SHARE * len(labelled):
+            model[lang] = (seen, sum(seen.values()) + m.PSEUDO * m.CELLS)
+    langs = list(model)
+
+    rows = []
+    for text, declared, suffix, host in evidence:
+        found = list(cells(text))
+        n = len(found)
+        mean = {l: sum(math.log((seen[c] + m.PSEUDO) / total) for c in found) / max(n, 1) for l, (seen, total) in model.items()}
+        best = max(langs, key=mean.get)
+        weight = min(n, m.TEXT_STRENGTH)
+        if n:
+            own = best if weight * (-math.log(m.CELLS) - mean[best]) < m.UND_MARGIN else "strange"
+        else:
+            own = None if any(c.isalpha() for c in text or "") else "blank"
+        rows.append((own, declared if declared in model or not declared else "other", {l: mean[l] * weight for l in langs}))
+
+    told = [(own, said) for own, said, _ in rows if own in model]
+    prior = {l: m.PSEUDO + sum(own == l for own, _ in told) for l in langs}
+    prior = {l: p / sum(prior.values()) for l, p in prior.items()}
+    says = {(s, l): m.PSEUDO + told.count((l, s)) for s in [*langs, "other"] for l in langs}
+    word = {(s, l): math.log(says[s, l] / sum(says[x, l] for x in [*langs, "other"])) for s, l in says}
+    agreed, both = sum(own == said for own, said in told), sum(said in model for _, said in told)
+    trust = (agreed + 1) / (both + 2)
+
+    out = []
+    for i, (own, said, ll) in enumerate(rows):
+        _, declared, suffix, host = evidence[i]
+        others = [(rows[j][0], e[2], e[3]) for j, e in enumerate(evidence) if j != i]
+        up = {l: sum(o == l and s == suffix for o, s, _ in others) + m.SUFFIX_ROWS * prior[l] for l in langs}
+        lo = {l: sum(o == l and (s, h) == (suffix, host) for o, s, h in others) + m.HOST_ROWS * up[l] / sum(up.values()) for l in langs}
+        base = {l: math.log(prior[l] if host is None else lo[l] / sum(lo.values())) for l in langs}
+        score = {l: base[l] + (word[said, l] if said else 0.0) + ll[l] for l in langs}
+        lang = max(langs, key=score.get)
+        confidence = 1 / sum(math.exp(x - score[lang]) for x in score.values())
+        tags = Counter("" if e[1] in model else e[1] for e in evidence if e[1] and (e[2], e[3]) == (suffix, host))
+        tag, most = max(tags.items(), key=lambda x: x[1], default=("", 0))
+        if said == "other" and (own == "strange" or (own not in ("strange", "blank") and confidence < least)):
+            lang, confidence = declared, trust
+        elif own == "strange" and not declared and host is not None and tag and 2 * most > sum(tags.values()):
+            lang, confidence = tag, trust * most / sum(tags.values())
+        elif own in ("strange", "blank"):
+            lang, confidence = "und", 0.0
+        out.append((lang, confidence, "und" if own in ("strange", "blank") else own))
+    return out
+
+
+def same_as_brute_force(evidence):
+    """Rows of ``evidence`` (with unique doc) that differ from brute force."""
+    given = evidence.orderBy("doc").collect()
+    want = brute_force([(r["text"], r["declared"], r["suffix"], r["host"]) for r in given])
+    got = {r["doc"]: r for r in m.identify(evidence).collect()}
+    assert len(got) == len(given)
+    near = lambda a, w: (a["lang"], a["text_lang"]) == (w[0], w[2]) and abs(a["confidence"] - w[1]) < 1e-4 and a["kept"] == (w[0] != "und" and w[1] >= 0.5)
+    return [(r["doc"], tuple(got[r["doc"]]), w) for r, w in zip(given, want) if not near(got[r["doc"]], w)], want
+
+
+def test_posterior_by_brute_force(spark):
+    rnd = random.Random(21)
+    data = [(*r[:2], None if r[2] == "xx" else r[2], *r[3:7]) for r in rows(900, rnd)]
+    data += [(2000, "שלום עולם", "he", "he.site", "h", 1, 1), (2001, "שלום רב", None, "he.site", "h", 1, 1), (2002, "x", "en", "en.site", "h", 1, 1)]
+    data += [(2003, None, "en", None, "h", 1, 1), (2004, "77 %", None, "mixed", "h", 1, 1), (2005, "漢字仮名交じり文" * 9, "fr", "mixed", "h", 1, 1), (2006, "th les der", None, None, "h", 1, 1)]
+    wrong, want = same_as_brute_force(m.from_documents(spark.createDataFrame(data, SCHEMA).repartition(4)))
+    assert wrong == [] and {w[0] for w in want} >= {"en", "fr", "de", "he", "und"} and any(0.5 < w[1] < 0.99 for w in want)
+
+
+def test_posterior_of_pages_by_brute_force(spark):
+    rnd = random.Random(22)
+    data = []
+    for i in range(500):
+        l = rnd.choice(["en", "fr", "de"])
+        said = l if rnd.random() < 0.8 else rnd.choice(["en", "fr", "de"])
+        attr = f' lang="{said}"' if rnd.random() < 0.8 else ""
+        data.append((i, f"http://{rnd.choice([l, 'mix'])}.example.{rnd.choice(['com', l])}/{i}", f"<html{attr}><p>{prose(l, rnd.choice([1, 2, 60]), rnd)}</p></html>"))
+    data += [(600, None, "<p>der ein</p>"), (601, "no address", None), (602, "http://mix.example.com", "<html lang=fr>")]
+    wrong, want = same_as_brute_force(m.from_pages(spark.createDataFrame(data, "page_id long, url string, html string").repartition(4)))
+    assert wrong == [] and {w[0] for w in want} >= {"en", "fr", "de", "und"} and any(0.5 < w[1] < 0.99 for w in want)
