@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog.sources import columnar
@@ -35,6 +35,15 @@ def recover(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read_table(spark, path, mode="recover"), report
 
 
+def recover_each(spark: SparkSession, path: str, call: Callable[[Row], None]) -> DataFrame:
+    """Calls ``call`` on the executors with every message of the valid prefixes, in file order in each recording; what it
+    raises ends the job and is not taken for damage. The report on what ended the prefixes is returned. A task that is
+    repeated calls again."""
+    messages, report = recover(spark, path)
+    messages.foreach(call)
+    return report
+
+
 def _chunk_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -82,32 +83,87 @@ def checked_seek(messages: DataFrame, requests: DataFrame, on: list[str], order:
     return out.drop("found").orderBy(order)
 
 
-def _sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Requests sorted by recording and chunk -> the messages they point to; each chunk is loaded once."""
-    here, records, found, data, indexes = None, None, {}, None, {}
-    for batch in batches:
-        out = []
-        for path, start, at, number in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if here is None or path != here[0]:
-                if data is not None:
-                    data.close()
-                data = files.opened(path)
-                summary = r.read_summary(data, declarations=False)
-                indexes = {i.chunk_start_offset: i for i in (summary.chunk_indexes if summary else [])}
-            if here != (path, start):
-                if start not in indexes:
-                    raise LogError("BadIndex", "a request names no chunk")
-                here, records = (path, start), columnar.Records(f.expand(r.chunk_at(data, indexes[start])))
-                found = {int(records.starts[i]): i for i in records.where.tolist()}
-            if at not in found:
-                raise LogError("BadIndex", "a request points to no message")
-            m = r.message_of(records.body(found[at]))
-            out.append((path, start, at, number, m.channel_id, m.sequence, m.log_time, m.publish_time, m.data))
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], type=k) for i, k in enumerate(kinds)], names=[c.split(" ")[0] for c in SOUGHT.split(", ")])
-
-
-SOUGHT = "path string, chunk_start_offset long, offset long, req_no long, channel_id int, sequence long, log_time long, publish_time long, data binary"
+class Chunks:
+    """Decoded chunks of recordings by place, those used last, up to ``most`` bytes: a chunk beyond that is not kept, and
+    with 0 none is. One recording is open at a time."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.kept = most, 0, OrderedDict()
+        self.path, self.data, self.indexes = None, None, {}
+
+    def at(self, path: str, start: int) -> tuple[columnar.Records, dict[int, int], bool]:
+        """Records of a chunk, their numbers by offset, and whether the chunk had to be loaded."""
+        if (path, start) in self.kept:
+            self.kept.move_to_end((path, start))
+            return *self.kept[path, start][:2], False
+        self._open(path)
+        if start not in self.indexes:
+            raise LogError("BadIndex", "a request names no chunk")
+        raw = f.expand(r.chunk_at(self.data, self.indexes[start]))
+        records = columnar.Records(raw)
+        places = {int(records.starts[i]): i for i in records.where.tolist()}
+        if len(raw) <= self.most:
+            self.kept[path, start] = records, places, len(raw)
+            self.held += len(raw)
+            while self.held > self.most:
+                self.held -= self.kept.popitem(last=False)[1][2]
+        return records, places, True
+
+    def _open(self, path: str) -> None:
+        if path != self.path:
+            self.close()
+            self.path, self.data = path, files.opened(path)
+            summary = r.read_summary(self.data, declarations=False)
+            self.indexes = {i.chunk_start_offset: i for i in (summary.chunk_indexes if summary else [])}
+
+    def close(self) -> None:
+        if self.data is not None:
+            self.data.close()
+        self.path = self.data = None
+
+
+def _sought(most: int | None):
+    """Requests -> the messages they point to, in their order. Without ``most`` requests are sorted by recording and
+    chunk, and a chunk is held until another one is asked for; else see Chunks."""
+
+    def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, here, now = Chunks(most or 0), None, None
+        try:
+            for batch in batches:
+                out = []
+                for path, start, at, number in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                    loaded = False
+                    if most is not None or here != (path, start):
+                        here, (*now, loaded) = (path, start), chunks.at(path, start)
+                    records, places = now
+                    if at not in places:
+                        raise LogError("BadIndex", "a request points to no message")
+                    m = r.message_of(records.body(places[at]))
+                    out.append((path, start, at, number, m.channel_id, m.sequence, m.log_time, m.publish_time, m.data, loaded))
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], type=k) for i, k in enumerate(kinds)], names=[c.split(" ")[0] for c in SOUGHT.split(", ")])
+        finally:
+            chunks.close()
+
+    return sought
+
+
+SOUGHT = "path string, chunk_start_offset long, offset long, req_no long, channel_id int, sequence long, log_time long, publish_time long, data binary, loaded boolean"
+
+
+def _requests(requests: DataFrame) -> DataFrame:
+    ship(requests.sparkSession)
+    number = F.col("req_no").cast("long") if "req_no" in requests.columns else F.lit(None).cast("long")
+    return requests.select("path", "chunk_start_offset", "offset", number.alias("req_no"))
+
+
+def seek_in_place(requests: DataFrame, cache_bytes: int = 64 << 20) -> DataFrame:
+    """The same as seek_messages() without a shuffle, in the order in which partitions hold their requests, for requests
+    that come near each other already. Each task keeps up to ``cache_bytes`` of decoded chunks, the least recently used
+    going first. ``loaded`` tells the requests that loaded their chunk from those that found it."""
+    if cache_bytes < 0:
+        raise ValueError("cache_bytes is not negative")
+    return _requests(requests).mapInArrow(_sought(int(cache_bytes)), SOUGHT)
 
 
 def seek_messages(requests: DataFrame) -> DataFrame:
@@ -117,10 +173,8 @@ def seek_messages(requests: DataFrame) -> DataFrame:
     are; duplicates are kept. A request that points to no message fails the job: all or nothing. The log time of a
     request plays no part.
     """
-    ship(requests.sparkSession)
-    number = F.col("req_no").cast("long") if "req_no" in requests.columns else F.lit(None).cast("long")
-    rows = requests.select("path", "chunk_start_offset", "offset", number.alias("req_no"))
-    return rows.repartition("path", "chunk_start_offset").sortWithinPartitions("path", "chunk_start_offset").mapInArrow(_sought, SOUGHT)
+    by_chunk = _requests(requests).repartition("path", "chunk_start_offset").sortWithinPartitions("path", "chunk_start_offset")
+    return by_chunk.mapInArrow(_sought(None), SOUGHT).drop("loaded")
 
 
 def grouped_seek(requests: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,31 @@ def changed(path: str, name: str, change) -> str:
     return folder
 
 
+def growing(path: str, folder: str, steps: int) -> Iterator[str]:
+    """A folder in which copies of the recordings under a path grow in so many steps; given after each of them."""
+    os.makedirs(folder)
+    names = sorted(n for n in os.listdir(path) if n.endswith(SUFFIX))
+    for k in range(1, steps + 1):
+        for n in names:
+            size = os.path.getsize(os.path.join(path, n))
+            with open(os.path.join(path, n), "rb") as data, open(os.path.join(folder, n), "ab") as out:
+                data.seek(out.tell())
+                shutil.copyfileobj(_Limited(data, size * k // steps - out.tell()), out)
+        yield folder
+
+
+class _Limited:
+    """The next ``left`` bytes of a file."""
+
+    def __init__(self, data, left: int):
+        self.data, self.left = data, left
+
+    def read(self, n: int) -> bytes:
+        out = self.data.read(min(n, self.left))
+        self.left -= len(out)
+        return out
+
+
 def retyped(opcodes: dict[int, int], channel: int | None = None):
     """Gives records outside chunks and summary other opcodes; of channel declarations only those of ``channel``, if given."""
 

@@ -336,6 +336,12 @@ def metadata_index(spark, sf_dir):
     return tables.read_table(spark, path, "metadata").select("name", F.col("values")["name"].alias("nation"), F.col("values")["region"].alias("region"))
 
 
+@query(_M + "select sequence, channel_id, log_time, md5(props) as digest from m")
+def mapped_scan(spark, sf_dir):
+    """Recordings mapped into memory."""
+    return read_messages(spark, _log(spark, sf_dir), mapped="true").select(*_PLAIN, F.md5("data").alias("digest"))
+
+
 # -- seeks and forwarding -------------------------------------------------------------------------------------------------------
 _REQUESTS = [5, 900, 5, 17, 333, 17]
 
@@ -358,6 +364,15 @@ def seek_batch(spark, sf_dir):
     return lookup.grouped_seek(requests).select(F.col("req_no").cast("int"), *_PLAIN)
 
 
+@query(_M + "select sequence, channel_id, log_time, true as as_often_as_chunks from m")
+def seek_in_place(spark, sf_dir):
+    """Every entry sought in file order without a shuffle: chunks are kept between requests, and each is loaded once."""
+    entries = tables.read_table(spark, _log(spark, sf_dir), "message_index").where("offset is not null")
+    found = lookup.seek_in_place(entries)
+    loads = found.groupBy("path", "chunk_start_offset").agg((F.count_if("loaded") == 1).alias("as_often_as_chunks"))
+    return found.join(loads, ["path", "chunk_start_offset"]).select(*_PLAIN, "as_often_as_chunks")
+
+
 @query("select cast(doc_id as varchar) as name, md5(coalesce(text, '')) as digest from documents")
 def read_indexed_attachments(spark, sf_dir):
     """Attachments by the offsets of their index."""
@@ -497,10 +512,18 @@ def batch_by_count(spark, sf_dir):
     return batches(log, 256, 1 << 40).join(log.select("path", "record_ordinal", "sequence"), ["path", "record_ordinal"]).select("sequence", "batch")
 
 
-@query()
+@query(
+    _M.replace("with m", "with recursive m")
+    + """, s as materialized (select row_number() over (order by sequence) as i, sequence, n, sum(n) over (order by sequence) as upto from m),
+g as materialized (select a.i as first, least(a.i + 256, coalesce(b.i, a.i + 255) + 1) as next from s a asof left join s b on a.upto - a.n + 1000 <= b.upto),
+b as (select cast(0 as bigint) as batch, first, next from g where first = 1 union all select batch + 1, g.first, g.next from b join g on g.first = b.next)
+select sequence, batch, cast(n as bigint) as size from s asof join b on s.i >= b.first"""
+)
 def batch_soft_target(spark, sf_dir):
+    """A batch ends with the message that reaches 1000 bytes, or after 256."""
     path = models.recorded(spark, sf_dir, "events_one", lambda: models.event_messages(spark, sf_dir), files=1)
-    return batches(tables.read_table(spark, path), 256, 1000)
+    log = tables.read_table(spark, path)
+    return batches(log, 256, 1000).join(log.select("path", "record_ordinal", "sequence"), ["path", "record_ordinal"]).select("sequence", "batch", "size")
 
 
 # -- integrity ------------------------------------------------------------------------------------------------------------------
@@ -596,9 +619,9 @@ def summary_records(spark, sf_dir):
 
 
 # -- streaming --------------------------------------------------------------------------------------------------------------------
-def _drained(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
-    """What a stream gives until its input is used up, as a table in the shared folder."""
-    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+def _drained(spark: SparkSession, stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """What a stream gives until its input is used up, as a table in the shared folder, with what it gave there before."""
+    folder = folder or f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def put(rows: DataFrame, batch: int) -> None:
         # A batch that is repeated writes its own folder again; in complete mode the last batch is the whole result.
@@ -624,6 +647,18 @@ def stream_recover(spark, sf_dir):
     return _drained(spark, read_stream(spark, _cut(spark, sf_dir), mode="recover").select(*_PLAIN))
 
 
+@query(_M + "select sequence, channel_id, log_time, md5(props) as digest from m")
+def stream_follow(spark, sf_dir):
+    """Recordings followed while they grow: each poll finds some more bytes, records cut anywhere."""
+    from loomlog.streaming.streams import read_stream
+
+    folder = f"{ensure_checkpoint_dir(spark)}/follow-{uuid.uuid4().hex}"
+    out = None
+    for part in models.growing(_log(spark, sf_dir), f"{folder.removeprefix('file:')}/in", 3):
+        out = _drained(spark, read_stream(spark, part, follow="true").select(*_PLAIN, F.md5("data").alias("digest")), folder=folder)
+    return out
+
+
 @query(_M + "select sequence, channel_id, log_time, md5(props) as digest from m")
 def stream_sink(spark, sf_dir):
     """A stream of recordings written as recordings."""

@@ -37,6 +37,9 @@ REPORT, REJECTS = "_report-", "_rejects-"
 ABOUT = ("channel_id", "topic", "message_encoding", "schema_id", "schema_name", "schema_encoding", "schema_data")
 #: Recordings that the driver plans chunk by chunk; where there are more, each is a partition and plans itself.
 PLANNED = 512
+#: Growing recordings that a worker remembers at most: how far each was read, its chunks so far and its declarations.
+MAX_FOLLOWED = 64
+_FOLLOWED: dict[tuple[str, int], tuple[int, int, r.Seen]] = {}
 
 
 def _flag(options: dict, name: str, default: bool) -> bool:
@@ -60,6 +63,7 @@ class Want:
     reading: r.ReaderOptions = r.ReaderOptions()
     offsets: tuple[int, ...] | None = None
     chunk_starts: tuple[int, ...] | None = None
+    mapped: bool = False
 
     @staticmethod
     def of(options: dict[str, str]) -> Want:
@@ -81,7 +85,7 @@ class Want:
         else:
             reading = r.ReaderOptions(*(_flag(o, k, False) for k in ("validateChunkCrcs", "validateDataSectionCrc", "validateSummarySectionCrc", "validateAttachmentCrcs", "checkFinishesAfterEndMagic")), limit, origin)
         numbers = lambda k: tuple(json.loads(o[k])) if o.get(k) else None
-        return Want(o.get("table", "messages"), topics, start, end, _flag(o, "payload", True), o.get("access", "auto"), o.get("mode", "strict"), o.get("u64", "long"), _flag(o, "expandChunks", True), o.get("unknownchannels", "error"), reading, numbers("offsets"), numbers("chunkstarts"))
+        return Want(o.get("table", "messages"), topics, start, end, _flag(o, "payload", True), o.get("access", "auto"), o.get("mode", "strict"), o.get("u64", "long"), _flag(o, "expandChunks", True), o.get("unknownchannels", "error"), reading, numbers("offsets"), numbers("chunkstarts"), _flag(o, "mapped", False))
 
     def takes(self, topic: str | None, log_time: int) -> bool:
         return (self.topics is None or topic in self.topics) and (self.start is None or log_time >= self.start) and (self.end is None or log_time < self.end)
@@ -89,13 +93,15 @@ class Want:
 
 @dataclass
 class Part(InputPartition):
-    """A whole recording (chunks is None) or some of its chunks: (offset, number) of each."""
+    """A whole recording (chunks is None), some of its chunks, (offset, number) of each, or of a growing one the records
+    that end in a span of bytes: behind the first position, at the second one at the latest."""
 
     path: str
     chunks: list[tuple[int, int]] | None = None
+    span: tuple[int, int] | None = None
 
-    def __init__(self, path: str, chunks: list[tuple[int, int]] | None = None):
-        self.path, self.chunks = path, chunks
+    def __init__(self, path: str, chunks: list[tuple[int, int]] | None = None, span: tuple[int, int] | None = None):
+        self.path, self.chunks, self.span = path, chunks, span
 
 
 class Batches:
@@ -201,7 +207,7 @@ class LogReader(DataSourceReader):
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark reads one empty partition where the plan has none
             return
-        with files.opened(partition.path) as data:
+        with files.opened(partition.path, self.want.mapped) as data:
             yield from self.batches(partition, data)
 
     def batches(self, part: Part, data) -> Iterator[pa.RecordBatch]:
@@ -238,28 +244,67 @@ class LogReader(DataSourceReader):
         """Messages in file order, every record checked; those of a chunk go by columns."""
         w, rows, seen = self.want, Batches(self.fields), r.Seen()
         for where in r.scan(data, w.reading, False):
-            if where.opcode == f.CHUNK:
-                records = columnar.Records(f.expand(f.parse(f.CHUNK, where.body), w.reading.chunk_crcs), w.reading.record_limit)
-                first = 0  # messages up to here have been checked
-                for i in np.flatnonzero(records.opcodes != f.MESSAGE).tolist():
-                    record, last = f.parse(int(records.opcodes[i]), records.body(i)), int(np.searchsorted(records.where, i))
-                    if not where.in_summary:
-                        self._declared(records, slice(first, last), seen.channels)
-                        seen.see(record)
-                    first = last
-                if not where.in_summary:
-                    self._declared(records, slice(first, None), seen.channels)
-                    yield from rows.flush()
-                    yield from self._columns(part.path, where.chunk, where.offset, records, seen.channels)
-            elif where.opcode == f.MESSAGE:
-                m = r.message_of(where.body)
-                if not where.in_summary and w.takes((c := seen.channel_of(m.channel_id, m.sequence)).topic, m.log_time):
-                    yield from rows.add(*self._message(part.path, -1, where.ordinal, m, c))
-            else:
-                record = f.parse(where.opcode, where.body)
+            yield from self._taken(part.path, where, rows, seen)
+        yield from rows.flush()
+
+    def _followed(self, part: Part, data) -> Iterator[pa.RecordBatch]:
+        """Messages of the complete records in the part's span. Of records before it only declarations are taken, and
+        chunks, which may hold some; what this worker has seen of the recording before is not read again. A record that
+        the span cuts belongs to a later one; the summary holds no messages, so its checks are left to a scan."""
+        origin, rows = self.want.reading.start_offset, Batches(self.fields)
+        a, b = (x - origin for x in part.span)
+        key = (part.path, origin)
+        at, chunk, seen = _FOLLOWED.pop(key, (0, 0, None))
+        if seen is None or at > a:
+            if b < len(f.MAGIC):
+                return
+            data.seek(origin)
+            if data.read(len(f.MAGIC)) != f.MAGIC:
+                raise LogError("BadMagic", "the recording doesn't begin with its magic")
+            at, chunk, seen = len(f.MAGIC), 0, r.Seen()
+        while at + f.PREFIX <= b:
+            data.seek(origin + at)
+            opcode, n = f._PREFIX.unpack(data.read(f.PREFIX))
+            end = at + f.PREFIX + n
+            if self.want.reading.record_limit is not None and n > self.want.reading.record_limit:
+                raise LogError("RecordTooLarge", opcode=opcode, len=n)
+            if end > b or opcode == f.DATA_END:
+                break
+            if end > a or opcode in (f.CHUNK, f.SCHEMA, f.CHANNEL):
+                where = r.Located(at, chunk if opcode == f.CHUNK else -1, 0, opcode, memoryview(data.read(n)), False)
+                yield from self._taken(part.path, where, rows, seen, end > a)
+            chunk += opcode == f.CHUNK
+            at = end
+        yield from rows.flush()
+        if len(_FOLLOWED) >= MAX_FOLLOWED:
+            del _FOLLOWED[next(iter(_FOLLOWED))]
+        _FOLLOWED[key] = at, chunk, seen
+
+    def _taken(self, path: str, where: r.Located, rows: Batches, seen: r.Seen, emit: bool = True) -> Iterator[pa.RecordBatch]:
+        """A top-level record checked, its declarations seen, its messages (with ``emit``) given or added to ``rows``."""
+        w = self.want
+        if where.opcode == f.CHUNK:
+            records = columnar.Records(f.expand(f.parse(f.CHUNK, where.body), w.reading.chunk_crcs), w.reading.record_limit)
+            first = 0  # messages up to here have been checked
+            for i in np.flatnonzero(records.opcodes != f.MESSAGE).tolist():
+                record, last = f.parse(int(records.opcodes[i]), records.body(i)), int(np.searchsorted(records.where, i))
                 if not where.in_summary:
+                    self._declared(records, slice(first, last), seen.channels)
                     seen.see(record)
-        yield from rows.flush()
+                first = last
+            if not where.in_summary:
+                self._declared(records, slice(first, None), seen.channels)
+                if emit:
+                    yield from rows.flush()
+                    yield from self._columns(path, where.chunk, where.offset, records, seen.channels)
+        elif where.opcode == f.MESSAGE:
+            m = r.message_of(where.body)
+            if not where.in_summary and w.takes((c := seen.channel_of(m.channel_id, m.sequence)).topic, m.log_time):
+                yield from rows.add(*self._message(path, -1, where.ordinal, m, c))
+        else:
+            record = f.parse(where.opcode, where.body)
+            if not where.in_summary:
+                seen.see(record)
 
     @staticmethod
     def _declared(records: columnar.Records, some: slice, channels: dict[int, f.Channel]) -> None:
@@ -734,6 +779,35 @@ class LogStreamReader(DataSourceStreamReader):
         """Nothing is kept outside the offsets."""
 
 
+class FollowingReader(LogStreamReader):
+    """Messages of recordings while they grow. The offset is each file's size when it was asked for; a batch has the
+    records that end between two sizes, so a record that is half written waits for the rest of it. Damage ends the
+    stream; that nothing follows a recording that was never finished is no damage."""
+
+    def __init__(self, schema, options: dict[str, str]):
+        super().__init__(schema, options)
+        if self.reader.want.table != "messages" or self.reader.want.mode == "recover":
+            raise ValueError("only messages are followed, and their prefixes are valid without recovery")
+
+    def initialOffset(self) -> dict:
+        return {"sizes": {}}
+
+    def latestOffset(self) -> dict:
+        found = self._files()
+        sizes = files.sizes(list(found.values()))
+        return {"sizes": {k: sizes[p] for k, p in sorted(found.items()) if p in sizes}}
+
+    def partitions(self, start: dict, end: dict) -> list[Part]:
+        grown = [(p, start["sizes"].get(k, 0), end["sizes"].get(k, 0)) for k, p in self._files().items()]
+        return [Part(p, span=(a, b)) for p, a, b in sorted(grown) if b > a]
+
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            return
+        with files.opened(partition.path) as data:
+            yield from self.reader._followed(partition, data)
+
+
 class MessageLog(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -751,7 +825,8 @@ class MessageLog(DataSource):
         return LogWriter(self.options, overwrite)
 
     def streamReader(self, schema):
-        return LogStreamReader(schema, self.options)
+        follow = _flag({k.lower(): v for k, v in self.options.items()}, "follow", False)
+        return (FollowingReader if follow else LogStreamReader)(schema, self.options)
 
     def streamWriter(self, schema, overwrite: bool):
         return LogStreamWriter(self.options, overwrite)

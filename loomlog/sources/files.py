@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import mmap
 import os
 from typing import BinaryIO
 from urllib.parse import unquote, urlparse
@@ -51,9 +52,32 @@ def side_files(path: str, prefix: str) -> list[str]:
     return sorted(os.path.join(here, n) for n in os.listdir(here) if n.startswith(prefix)) if here and os.path.isdir(here) else []
 
 
-def opened(path: str) -> BinaryIO:
+def sizes(paths: list[str]) -> dict[str, int]:
+    """The sizes of files, of those that are still there."""
+    out = {}
+    for path in paths:
+        here = local(path)
+        try:
+            if here is None:
+                store, inner = _remote(path)
+                size = store.get_file_info(inner).size
+            else:
+                size = os.path.getsize(here)
+        except FileNotFoundError:
+            size = None
+        if size is not None:
+            out[path] = size
+    return out
+
+
+def opened(path: str, mapped: bool = False) -> BinaryIO:
+    """A file to read; with ``mapped`` a local one that isn't empty is mapped into memory."""
     here = local(path)
     if here is None:
         store, inner = _remote(path)
         return store.open_input_file(inner)
-    return open(here, "rb")
+    data = open(here, "rb")
+    if not mapped or not os.fstat(data.fileno()).st_size:
+        return data
+    with data:
+        return mmap.mmap(data.fileno(), 0, access=mmap.ACCESS_READ)

@@ -13,7 +13,8 @@ from loomlog.sources.tables import register
 
 
 def read_stream(spark: SparkSession, path: str, table: str = "messages", **options) -> DataFrame:
-    """Rows of recordings as they are completed under a folder; with mode='recover' the valid prefix of each."""
+    """Rows of recordings as they are completed under a folder; with mode='recover' the valid prefix of each, with
+    follow='true' the messages of recordings that are still being written, as far as their records are complete."""
     register(spark)
     named = {k: v if isinstance(v, str) else json.dumps(v) for k, v in options.items() if v is not None}
     return spark.readStream.format(datasource.NAME).options(table=table, **named).load(path)

@@ -116,6 +116,22 @@ def test_seeks(spark, tmp_path):
         lookup.grouped_seek(ask([]).limit(0) if False else ask([places[0]]).where("req_no < 0"))
 
 
+@pytest.mark.parametrize("codec", ["none", "lz4", "zstd"])
+@pytest.mark.parametrize("cache, loads", [(0, 192), (100_000, 12), (1_000_000, 4)])
+def test_seeks_load_chunks_by_the_cache(spark, tmp_path, codec, cache, loads):
+    def build(w):
+        w.register_channel("/a", "e", id=0)
+        for i in range(64):
+            w.write(0, i, i, i, bytes([i]) * 4096)
+
+    path = record(f"{tmp_path}/a.mlog", build, chunk_size=16 * 4096, compression=codec)
+    places = tables.read_table(spark, path, "message_index").where("offset is not null").orderBy("log_time").collect()
+    asked = [(k, path, x["chunk_start_offset"], x["offset"]) for k, x in enumerate(places * 3)]
+    found = lookup.seek_in_place(spark.createDataFrame(asked, "req_no int, path string, chunk_start_offset long, offset long").coalesce(1), cache).collect()
+    assert [(m["req_no"], m["sequence"], bytes(m["data"])) for m in found] == [(k, k % 64, bytes([k % 64]) * 4096) for k in range(192)]
+    assert len({x["chunk_start_offset"] for x in places}) == 4 and sum(m["loaded"] for m in found) == loads
+
+
 def test_unsigned_times(spark, tmp_path):
     def build(w):
         w.register_channel("/ü", "e", id=0)
@@ -376,6 +392,73 @@ def test_streams(spark, tmp_path):
     assert tables.read_table(spark, sink).count() == 12
 
 
+@pytest.mark.parametrize("chunks", [True, False])
+def test_growing_recordings_are_followed(spark, tmp_path, chunks):
+    from loomlog.sources import datasource
+    from loomlog.streaming.streams import read_stream
+
+    def build(w):
+        for i in range(40):
+            if i % 10 == 0:
+                w.register_channel(f"/t{i}", "e", id=i // 10)
+            w.write(i // 10, i, i, i, b"p" * (i * 7))
+            if i == 25:
+                w.write_attachment("a", "t", b"data" * 50)
+
+    raw = open(record(f"{tmp_path}/whole.mlog", build, use_chunks=chunks, chunk_size=500), "rb").read()
+    source, out, seen, known = f"{tmp_path}/in", f"{tmp_path}/out", [], []
+
+    def drain():
+        def put(rows, batch):
+            seen.extend((r["sequence"], r["topic"], len(r["data"])) for r in rows.collect())
+
+        q = read_stream(spark, source, follow="true").writeStream.foreachBatch(put).option("checkpointLocation", out).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    os.makedirs(source)
+    for cut in (3, 700, 701, 2500, len(raw) - 400, len(raw) - 30, len(raw), len(raw)):
+        with open(f"{source}/a.mlog", "wb") as data:
+            data.write(raw[:cut])
+        drain()
+        known.append(len(seen))
+    assert seen == [(i, f"/t{i // 10 * 10}", i * 7) for i in range(40)]
+    assert known == sorted(known) and 0 < known[1] < known[3] < 40 and known[0] == 0 and known[-3] == 40
+
+    # What a worker remembers changes nothing, nor where the spans are cut.
+    reader = datasource.FollowingReader(datasource.model.schema_of("messages", "long"), {"path": source})
+    for remember in (True, False):
+        got = []
+        for a in range(0, len(raw), 97):
+            if not remember:
+                datasource._FOLLOWED.clear()
+            for batch in reader.read(datasource.Part(f"{source}/a.mlog", span=(a, min(a + 97, len(raw))))):
+                got += batch.column("sequence").to_pylist()
+        assert got == list(range(40))
+        datasource._FOLLOWED.clear()
+    with pytest.raises(ValueError):
+        datasource.FollowingReader(None, {"path": source, "table": "chunks"})
+
+
+def test_mapped_files_and_calls_on_recovered_messages(spark, tmp_path):
+    path = record(f"{tmp_path}/a.mlog", orders)
+    for table in ("messages", "statistics", "attachments"):
+        assert tables.read_table(spark, path, table, mapped="true").collect() == tables.read_table(spark, path, table).collect()
+    with open(f"{tmp_path}/b.mlog", "wb") as data:
+        data.write(open(path, "rb").read()[:-60])
+    open(f"{tmp_path}/empty.mlog", "wb").close()
+    with pytest.raises(Exception, match="UnexpectedEof"):
+        tables.read_table(spark, f"{tmp_path}/empty.mlog", access="scan", mapped="true").collect()
+    calls = spark.sparkContext.accumulator(0)
+    report = integrity.recover_each(spark, f"{tmp_path}/b.mlog", lambda m: calls.add(m["sequence"]))
+    assert calls.value == sum(FX3) and not report.first()["fully_validated"]
+
+    def fails(m):
+        raise RuntimeError("the caller's own")
+
+    with pytest.raises(Exception, match="the caller's own"):
+        integrity.recover_each(spark, path, fails)
+
+
 def test_forward_and_conflicts(spark):
     m = spark.createDataFrame([(1, 5), (2, 6)], "channel_id int, sequence int")
     ids = spark.createDataFrame([(1, 101), (2, 102)], "channel_id int, new_id int")
