@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import documents, durable, pick, prepare, tidy
+from loomlog.llm.common import discard, documents, durable, pick, prepare, tidy
 from loomlog.llm.exact_dedup import exact_duplicates
 from loomlog.llm.language_id import from_documents, identify
 from loomlog.llm.membership import Members, key, may_hold, without
@@ -113,13 +113,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; between stages the rows are a table in the shared folder."""
+    """All stages over ``documents``; between stages the rows are a table in the shared folder, deleted when the next one
+    is written. The last table stays, as the result is computed from it."""
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             path = f"{folder}/{k}-{name}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if before:
+                discard(spark, before)
+            before = path
     return docs

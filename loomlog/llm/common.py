@@ -78,12 +78,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows as a table written in the shared folder. For loops: a checkpoint keeps the logical plan for its
-    statistics, which a loop multiplies; a table cuts that too, and its size is known to the planner."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same rows as a table written in the shared folder, and its path. For loops: a checkpoint keeps the logical plan
+    for its statistics, which a loop multiplies; a table cuts that too, and its size is known to the planner."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that no plan reads any more, not even to make up for a lost executor."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 #: Rows of a partition that a small intermediate table is read in.

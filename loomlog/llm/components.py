@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import settled, written
+from loomlog.llm.common import discard, settled, written
 
 SMALL_EDGES = 500_000
 #: Parts of a node's neighbours.
@@ -60,12 +60,13 @@ def components(edges: DataFrame) -> DataFrame:
     now, n = settled(edges.select("u", "v").where("u != v"))
     if n <= SMALL_EDGES:
         return now.coalesce(1).mapInArrow(_union_find, "node long, root long")
-    now = written(now.distinct())
+    now, path = written(now.distinct())
     while True:
-        after = written(_star(_star(now, True), False))
+        after, next_path = written(_star(_star(now, True), False))
         # A forest of stars whose centres are the smallest nodes is a fixed point.
         same = now.count() == after.count() and after.exceptAll(now).isEmpty()
-        now = after
+        discard(edges.sparkSession, path)
+        now, path = after, next_path
         if same:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

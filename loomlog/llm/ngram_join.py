@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BROADCAST_ROWS, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of, written
+from loomlog.llm.common import BROADCAST_ROWS, discard, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of, written
 from loomlog.llm.components import components
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
 from loomlog.llm.membership import Members, key
@@ -376,7 +376,8 @@ def _roomy(lists: DataFrame) -> DataFrame:
 
 
 def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, again: dict) -> DataFrame | None:
-    """Links u (pivot), v that connect every component, or None where there are none."""
+    """Links u (pivot), v that connect every component, or None where there are none. Each round writes what
+    is left of the lists and deletes what the round before wrote; the lists themselves stay."""
     wanted = lists.select("class").distinct()
     best, n = settled(classes.join(wanted, "class", "left_semi").select(key("doc", "mark").alias("k")).select("k.a", "k.b"))
     if not n:
@@ -385,7 +386,7 @@ def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, aga
     keyed = rows.withColumn("k", key("doc", "mark")).select("k.a", "k.b", "text")
     sets = durable(keyed.mapInArrow(tidy(_sets(size, again, Members(best, n).passing())), "class long, shingles binary"))
 
-    links = done = None
+    links = done = path = None
     low, high, active = 0, 1, lists
     while True:
         rank = F.row_number().over(Window.partitionBy("key").orderBy("class"))
@@ -406,8 +407,12 @@ def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, aga
                 labels = F.broadcast(labels) if named <= BROADCAST_ROWS else labels
                 active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
         low, high = high, high * GROWTH
-        active = written(_open(active, low))
+        active, left = written(_open(active, low))
+        if path is not None:
+            discard(rows.sparkSession, path)
+        path = left
         if active.isEmpty():
+            discard(rows.sparkSession, path)
             return links
 
 
@@ -464,7 +469,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     salt = F.expr(f"if(shiftrightunsigned(key, 56) >= {HEAVY_RANK}, pmod(class, shiftleft(1L, cast(least({MAX_PARTS}, 1 + (shiftrightunsigned(key, 56) - {HEAVY_RANK}) div 12) as int))), 0L)")
     lists = postings.repartition("key", salt).sortWithinPartitions("key", "class").mapInArrow(tidy(_lists), "key long, class long, n int, at int")
     # The largest intermediate result: a table is smaller than a checkpoint.
-    lists = _roomy(written(lists.withColumn("label", F.col("class")).withColumn("salt", salt)))
+    lists = _roomy(written(lists.withColumn("label", F.col("class")).withColumn("salt", salt))[0])
     links = _links(rows, classes, lists, size, again)
 
     rooted = scanned.drop("check").withColumn("root", F.col("class"))

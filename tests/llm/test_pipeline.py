@@ -1,3 +1,5 @@
+import glob
+import os
 import random
 
 import corpus_pipeline as pipeline
@@ -81,5 +83,10 @@ def test_empty_tables(spark):
 
 def test_run(spark, tmp_path):
     spark.createDataFrame(corpus(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    shared = pipeline.ensure_checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {os.path.relpath(p, shared) for g in ("table-*", "pipeline-*/*") for p in glob.glob(f"{shared}/{g}")}
+    before = tables()
     out = pipeline.run(spark, str(tmp_path))
     assert out.count() > 100 and "sequence_id" in out.columns
+    # Left of the tables on the way: the one that the result is computed from, and the lists of the n-gram join.
+    assert sorted(p.split("/")[-1].split("-")[0] for p in tables() - before) == ["3", "table"]
