@@ -44,10 +44,32 @@ def _release() -> None:
         pass
 
 
-def tidy(run):
-    """The same function over batches, which releases free memory at the end of a task."""
+_kept: dict = {}
+
+
+def kept(name: tuple, make):
+    """What the worker made under this name, kept for its next tasks until one of another kind comes. A function of the
+    module, as a task's closure would bring a new, empty dictionary."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    """Lets go of what the worker kept for tasks of another kind: workers outlive their stage."""
+    if _kept:
+        _kept.clear()
+        _release()
+
+
+def tidy(run, keeps: bool = False):
+    """The same function over batches, which releases free memory at the end of a task; unless it ``keeps`` something
+    itself, what other functions kept goes first."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         yield from run(batches)
         _release()
 

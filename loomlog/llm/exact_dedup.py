@@ -244,6 +244,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=k) for i, k in enumerate((pa.binary(), pa.int64(), pa.int64()))], names=["digest", "run", "variant"])
 
 
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both in one worker, where a digest's rows are together."""
+    return _compare(_distinct(batches))
+
+
 def _index(runs: DataFrame) -> DataFrame:
     return runs.select("digest", "key", "run", "n").repartition("digest").mapInArrow(tidy(_compact), "digest binary, key long, run long, total long, entries long")
 
@@ -271,12 +276,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         near = F.broadcast(hits) if n <= BROADCAST_ROWS else hits
         salt = F.when(F.col("hot"), F.pmod(F.shiftright("run", 36), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
         texts = some.join(near, (F.col("sha") == F.col("own")) & F.col("doc").eqNullSafe(F.col("of"))).select(F.substring("own", 1, digest_bytes).alias("digest"), salt.alias("salt"), "run", "text", "hot")
-        found = lambda rows: rows.select("digest", "salt", "run", "text").repartition("digest", "salt").sortWithinPartitions("digest", "salt", "run").mapInArrow(tidy(_distinct), "digest binary, first long, runs array<long>, text binary")
-        compared = lambda rows: rows.mapInArrow(_compare, "digest binary, run long, variant long")
+        found = lambda rows: rows.select("digest", "salt", "run", "text").repartition("digest", "salt").sortWithinPartitions("digest", "salt", "run")
+        variant_of = "digest binary, run long, variant long"
         # All of a digest's texts meet at once; those of a hot one by salt, and then the different ones of each salt.
-        variants = compared(found(texts.where("not hot")))
+        variants = found(texts.where("not hot")).mapInArrow(tidy(_variants), variant_of)
         if not hits.where("hot").isEmpty():
-            variants = variants.unionByName(compared(found(texts.where("hot")).repartition("digest").sortWithinPartitions("digest", "first")))
+            hot = found(texts.where("hot")).mapInArrow(tidy(_distinct), "digest binary, first long, runs array<long>, text binary")
+            variants = variants.unionByName(hot.repartition("digest").sortWithinPartitions("digest", "first").mapInArrow(tidy(_compare), variant_of))
         variants = durable(variants.distinct())
         if not variants.isEmpty():
             variant = F.coalesce(F.col("variant"), F.lit(0)).cast("string").cast("binary")

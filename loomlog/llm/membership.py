@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import durable
+from loomlog.llm.common import durable, forget, tidy
 
 #: Bits of a key and probes, bytes of a segment, and of all segments at most.
 BITS, PROBES, SEGMENT_BYTES, FILTER_BYTES = 14, 7, 1 << 18, 64 << 20
@@ -75,7 +75,7 @@ class Members:
         need = max(1024, min(8 * SEGMENT_BYTES, -(-self.n * BITS // self.segments)))
         self.bits = 1 << int(np.ceil(np.log2(need)))
         segment = F.expr(f"pmod(shiftrightunsigned(b, 32), {self.segments}L)")
-        parts = keys.select("a", "b").repartition(min(self.segments, 200), segment).mapInArrow(_build(self.segments, self.bits), "segment int, bits binary")
+        parts = keys.select("a", "b").repartition(min(self.segments, 200), segment).mapInArrow(tidy(_build(self.segments, self.bits)), "segment int, bits binary")
         table = np.zeros((self.segments, self.bits // 8), np.uint8)
         for r in parts.collect():  # FILTER_BYTES at most
             table[r["segment"]] |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
@@ -91,6 +91,7 @@ class Members:
         shared, segments, bits = self.shared, self.segments, self.bits
 
         def passes(a: pa.Array, b: pa.Array) -> pa.Array:
+            forget()
             table, x, y = shared.value, _unsigned(a.to_numpy(zero_copy_only=False)), _unsigned(b.to_numpy(zero_copy_only=False))
             own, out = _segment(y, segments), np.ones(len(x), dtype=bool)
             for at in _probes(x, y, bits):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from loomlog.llm.common import lowered, pick, prepare, tidy, utf8
+from loomlog.llm.common import kept, lowered, pick, prepare, tidy, utf8
 from loomlog.llm.token_counts import byte_alphabet
 
 #: Penalties, in tokens of padding, of cutting a document at a sentence end or inside a sentence.
@@ -279,17 +279,6 @@ class Packer:
         return out
 
 
-_encoders: dict[tuple[str, int], WordEncoder] = {}
-
-
-def encoder_of(path: str, memory: int) -> WordEncoder:
-    """The worker's own encoder. A function of the module, as a task's closure would bring a new, empty dictionary."""
-    if (path, memory) not in _encoders:
-        _encoders.clear()
-        _encoders[path, memory] = WordEncoder(path, memory)
-    return _encoders[path, memory]
-
-
 def _pack(path: str, length: int, end_id: int, memory: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -298,7 +287,7 @@ def _pack(path: str, length: int, end_id: int, memory: int):
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in range(7)], names=names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path, memory)
+        encoder = kept((path, memory), lambda: WordEncoder(path, memory))
         packer = Packer(length, encoder.stops, TaskContext.get().partitionId() << 40)
         for batch in batches:
             raw, at = utf8(batch.column(1))
@@ -318,4 +307,4 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """One row per piece: doc, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc=f"{id_col} long", text=f"{text_col} string")
-    return rows.mapInArrow(tidy(_pack(tokenizer_path, length, end_id, memory)), SCHEMA)
+    return rows.mapInArrow(tidy(_pack(tokenizer_path, length, end_id, memory), keeps=True), SCHEMA)

@@ -55,3 +55,24 @@ def test_may_hold_loses_nothing(spark, monkeypatch):
         assert {r[3] for r in rows if r[3] % 10 == 0} <= got
         if bits == 14 and size == 64 << 20:
             assert len(got) < 0.3 * len(rows)
+
+
+def test_workers_forget_what_other_tasks_kept():
+    """An encoder of the packing stage must not stay in a worker that goes on to other stages."""
+    import pyarrow as pa
+
+    from loomlog.llm import common
+
+    made = []
+    make = lambda: made.append(1) or [1]
+    batch = pa.RecordBatch.from_arrays([pa.array([1])], names=["x"])
+
+    def uses(batches):
+        common.kept(("own", 1), make)
+        yield from batches
+
+    for _ in range(2):
+        assert list(common.tidy(uses, keeps=True)(iter([batch]))) == [batch]
+    assert len(made) == 1 and common._kept
+    assert list(common.tidy(iter)(iter([batch]))) == [batch]
+    assert not common._kept
