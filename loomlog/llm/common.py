@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -114,6 +115,13 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of plans that are gone: Spark deletes them only as the driver collects garbage,
+    which may take longer than the whole query."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows of a partition that a small intermediate table is read in.
 SETTLED_ROWS = 20_000
 

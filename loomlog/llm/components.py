@@ -12,30 +12,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import discard, settled, written
+from loomlog.llm.common import discard, settled, tidy, written
 
 SMALL_EDGES = 500_000
 #: Parts of a node's neighbours.
 SALTS = 32
 
 
-def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    root: dict[int, int] = {}
+def _find(root: dict[int, int], x: int) -> int:
+    top = x
+    while root.setdefault(top, top) != top:
+        top = root[top]
+    while root[x] != top:
+        root[x], x = top, root[x]
+    return top
+
 
-    def find(x: int) -> int:
-        top = x
-        while root.setdefault(top, top) != top:
-            top = root[top]
-        while root[x] != top:
-            root[x], x = top, root[x]
-        return top
+def united(root: dict[int, int], a: int, b: int) -> bool:
+    """Unites the sets of a and b in a union-find; whether they were apart."""
+    a, b = _find(root, a), _find(root, b)
+    root[max(a, b)] = min(a, b)
+    return a != b
 
+
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    root: dict[int, int] = {}
     for batch in batches:
         for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            a, b = find(u), find(v)
-            root[max(a, b)] = min(a, b)
+            united(root, u, v)
     nodes = np.array(sorted(root), dtype=np.int64)
-    roots = np.array([find(x) for x in nodes.tolist()], dtype=np.int64)
+    roots = np.array([_find(root, x) for x in nodes.tolist()], dtype=np.int64)
     for a in range(0, len(nodes), 1 << 16):
         yield pa.RecordBatch.from_arrays([pa.array(nodes[a : a + (1 << 16)]), pa.array(roots[a : a + (1 << 16)])], names=["node", "root"])
 
@@ -59,7 +65,7 @@ def components(edges: DataFrame) -> DataFrame:
     """edges: u, v (long) -> node, root, for every node that has an edge; root is the smallest node it reaches."""
     now, n = settled(edges.select("u", "v").where("u != v"))
     if n <= SMALL_EDGES:
-        return now.coalesce(1).mapInArrow(_union_find, "node long, root long")
+        return now.coalesce(1).mapInArrow(tidy(_union_find), "node long, root long")
     now, path = written(now.distinct())
     while True:
         after, next_path = written(_star(_star(now, True), False))

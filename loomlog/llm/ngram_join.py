@@ -13,11 +13,13 @@
    A pivot is paired with the list's later classes unless both already belong to one component, sizes differ too
    much, or the positions in both sets leave too little room (exact for the first common shingle). A list is done
    when its classes are in one component or all its pairs were made: large groups of near copies collapse after
-   their first pivots instead of meeting pair by pair, and no link between components is lost.
+   their first pivots instead of meeting pair by pair, and no link between components is lost. Near copies share many
+   lists with many pivots, so a round goes by turns: each class asks its first pivot, later the others that it is not
+   yet in one component with.
 4. T-occurrence search: the classes that a list's pivots ask for are the records of inverted lists over their whole
    sets (blocks of about BLOCK records), and the list's pivots are searched in them by DivideSkip: short
    inverted lists are merged by a heap, the long ones are probed by binary search for what the heap counted often
-   enough, and classes that reach the overlap are links.
+   enough, and classes that reach the overlap are links. A block hands on those that connect what it had apart.
 5. Components of the links, and the smallest document of each.
 
 Hot lists are known from the sketch and dealt out in parts of some hundred classes, their pivots are found with partial limits;
@@ -43,10 +45,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BROADCAST_ROWS, discard, durable, lowered, pick, prepare, salted_totals, settled, tidy, utf8, words_of, written
-from loomlog.llm.components import components
+from loomlog.llm.common import BROADCAST_ROWS, discard, durable, lowered, pick, prepare, salted_totals, settled, swept, tidy, utf8, words_of, written
+from loomlog.llm.components import components, united
 from loomlog.llm.hashing import mix, range_hashes, shingle_hashes
-from loomlog.llm.membership import Members, key
+from loomlog.llm.membership import Members, key, may_hold
 
 #: Words of a shingle; the threshold is NUM / DEN.
 WORDS, NUM, DEN = 5, 3, 4
@@ -320,19 +322,22 @@ class DivideSkip:
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks (list, salt), sorted, their records before their pivots -> links. Records are held, pivots pass by."""
-    block, members, sets, index = None, [], [], None
+    """Blocks (list, salt), sorted, their records before their pivots -> links. Records are held, pivots pass by.
+
+    A link is left out if others of its block connect the same two already, so a block has fewer links than sets.
+    """
+    block, members, sets, index, root = None, [], [], None, {}
     for batch in batches:
         found: list[tuple[int, int]] = []
         for here, salt, asked, own, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if (here, salt) != block:
-                block, members, sets, index = (here, salt), [], [], None
+                block, members, sets, index, root = (here, salt), [], [], None, {}
             if not asked:
                 members.append(own)
                 sets.append(np.frombuffer(data, np.uint64))
             elif members:
                 index = index or DivideSkip(sets)
-                found += [(own, members[i]) for i in index.search(np.frombuffer(data, np.uint64)) if members[i] != own]
+                found += [(own, members[i]) for i in index.search(np.frombuffer(data, np.uint64)) if united(root, own, members[i])]
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], type=pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
@@ -396,26 +401,43 @@ def _links(rows: DataFrame, classes: DataFrame, lists: DataFrame, size: int, aga
         both = active.join(pivots.join(parts, "key"), ["key", "salt"]).where("class > p_class and label != p_label")
         fits = F.expr(f"{DEN} * least(n, p_n) >= {NUM} * greatest(n, p_n) and {NUM + DEN} * least(n - at, p_n - p_at) >= {NUM} * (n + p_n)")
         pairs = both.where(fits).groupBy(F.col("p_class").alias("u"), F.col("class").alias("v")).agg(F.min("key").alias("list"))
-        pairs, made = settled(pairs if done is None else pairs.join(done, ["u", "v"], "left_anti"))
-        if made:
-            asked = pairs.select("u", "v")
+        pairs = pairs if done is None else pairs.join(done, ["u", "v"], "left_anti")
+        pairs, made = settled(pairs.withColumn("turn", F.row_number().over(Window.partitionBy("v").orderBy("u"))))
+        labels, asking = None, pairs.where("turn = 1").count()
+        # Where that is much less, each class asks its first pivot before the others.
+        for turn in (["turn = 1", "turn > 1"] if made > 2 * asking else ["true"]) if made else []:
+            now = pairs.where(turn)
+            if labels is not None:
+                now, made = settled(_apart(now, labels))
+                if not made:
+                    break
+            asked = now.select("u", "v")
             done = asked if done is None else settled(done.unionByName(asked))[0]
-            found, hits = settled(_searched(pairs, made, sets))
+            found, hits = _searched(now, sets)
+            swept(rows.sparkSession)
             if hits:
                 links = found if links is None else settled(links.unionByName(found))[0]
                 labels, named = settled(components(links).select(F.col("node").alias("class"), F.col("root").alias("new")))
                 labels = F.broadcast(labels) if named <= BROADCAST_ROWS else labels
-                active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+        if labels is not None:
+            active = active.join(labels, "class", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
         low, high = high, high * GROWTH
         active, left = written(_open(active, low))
         if path is not None:
             discard(rows.sparkSession, path)
         path = left
+        swept(rows.sparkSession)
         if active.isEmpty():
             discard(rows.sparkSession, path)
             return links
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs u, v of classes that are not in one component."""
+    of = lambda c: labels.select(F.col("class").alias(c), F.col("new").alias(f"{c}_new"))
+    return pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").where("coalesce(u_new, u) != coalesce(v_new, v)").select(*pairs.columns)
+
+
 def _open(lists: DataFrame, done: int) -> DataFrame:
     """Lists with more than ``done`` classes, not all in one component. Sums and join go by (key, salt)."""
     parts = lists.groupBy("key", "salt").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
@@ -424,16 +446,24 @@ def _open(lists: DataFrame, done: int) -> DataFrame:
     return lists.join(left, ["key", "salt"], "left_semi")
 
 
-def _searched(pairs: DataFrame, made: int, sets: DataFrame) -> DataFrame:
+def _searched(pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
     """Pairs (pivot u, candidate v, the list where they met): links among what the pivots of each list ask for."""
     # Blocks of a list hold about BLOCK of its records and as many of its pivots.
     count = pairs.groupBy("list").agg(*[F.greatest(F.lit(1), F.expr(f"cast(ceil(approx_count_distinct({c}) / {BLOCK}) as bigint)")).alias(f"of_{c}") for c in ("u", "v")])
-    salt = F.expr("pmod(xxhash64(v), of_v) + of_v * pmod(xxhash64(u), of_u)")
-    salted = settled(pairs.join(count, "list").withColumn("salt", salt).drop("of_u", "of_v"))[0]
-    # A few pairs go to the sets, else both are shuffled.
-    near = F.broadcast if made <= BROADCAST_ROWS else lambda df: df
-    of = lambda name, asked: sets.withColumnRenamed("class", name).join(near(salted.select("list", "salt", name).distinct()), name).select("list", "salt", F.lit(asked).alias("asked"), F.col(name).alias("own"), "shingles")
-    return of("v", False).unionByName(of("u", True)).repartition("list", "salt").sortWithinPartitions("list", "salt", "asked").mapInArrow(tidy(_search), "u long, v long")
+    salted = pairs.join(count, "list").withColumn("salt", F.expr("pmod(xxhash64(v), of_v) + of_v * pmod(xxhash64(u), of_u)"))
+    of = lambda name, asked: salted.select("list", "salt", F.lit(asked).alias("asked"), F.col(name).alias("class"))
+    needs, n = settled(of("v", False).unionByName(of("u", True)).distinct())
+    members = None
+    if n <= BROADCAST_ROWS:
+        here = sets.join(F.broadcast(needs), "class")
+    else:  # both are shuffled, the sets once and only those that are asked for
+        members = Members(needs.select("class").distinct().select(key("class").alias("k")).select("k.a", "k.b"))
+        here = may_hold(sets, members, "class").join(needs, "class")
+    here = here.select("list", "salt", "asked", F.col("class").alias("own"), "shingles")
+    found = settled(here.repartition("list", "salt").sortWithinPartitions("list", "salt", "asked").mapInArrow(tidy(_search), "u long, v long"))
+    if members is not None:
+        members.free()
+    return found
 
 
 def _numbered_apart(scanned: DataFrame, classes: DataFrame) -> tuple[DataFrame, dict[tuple[int, int], int]]:
@@ -470,6 +500,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = postings.repartition("key", salt).sortWithinPartitions("key", "class").mapInArrow(tidy(_lists), "key long, class long, n int, at int")
     # The largest intermediate result: a table is smaller than a checkpoint.
     lists = _roomy(written(lists.withColumn("label", F.col("class")).withColumn("salt", salt))[0])
+    swept(spark)
     links = _links(rows, classes, lists, size, again)
 
     rooted = scanned.drop("check").withColumn("root", F.col("class"))

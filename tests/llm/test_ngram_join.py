@@ -224,3 +224,19 @@ def test_components(spark, monkeypatch, small):
     touched = {x for e in edges if e[0] != e[1] for x in e}
     got = {(r["node"], r["root"]) for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {(x, find(x)) for x in touched}
+
+
+def test_near_copies_leave_few_links(spark, monkeypatch):
+    """A group of near copies with many lists and pivots: about a link for each class, not one for each pivot and class."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        words[rnd.randrange(len(words))] = f"v{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    seen, searched = [], m._searched
+    monkeypatch.setattr(m, "_searched", lambda *x: seen.append(searched(*x)) or seen[-1])
+    got = m.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc"], r["component"]) for r in got} == {(d, c) for d, _, c in brute(rows)}
+    assert 0 < sum(n for _, n in seen) <= 2 * len(rows)
