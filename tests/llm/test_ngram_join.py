@@ -226,17 +226,14 @@ def test_components(spark, monkeypatch, small):
     assert got == {(x, find(x)) for x in touched}
 
 
-def test_near_copies_leave_few_links(spark, monkeypatch):
-    """A group of near copies with many lists and pivots: about a link for each class, not one for each pivot and class."""
-    rnd = random.Random(12)
-    base = [f"w{i}" for i in range(120)]
-    rows = []
-    for i in range(300):
-        words = list(base)
-        words[rnd.randrange(len(words))] = f"v{rnd.randrange(10**6)}"
-        rows.append((i, " ".join(words)))
-    seen, searched = [], m._searched
-    monkeypatch.setattr(m, "_searched", lambda *x: seen.append(searched(*x)) or seen[-1])
-    got = m.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
-    assert {(r["doc"], r["component"]) for r in got} == {(d, c) for d, _, c in brute(rows)}
-    assert 0 < sum(n for _, n in seen) <= 2 * len(rows)
+def test_a_block_hands_on_connecting_links_only():
+    """Ten pivots and ten records that are all alike: fewer links than sets, and all in one component."""
+    own = np.arange(40, dtype=np.uint64)
+    rows = [(1, 0, asked, 10 * asked + i, np.delete(own, i).tobytes()) for asked in (False, True) for i in range(10)]
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=t) for k, t in enumerate(kinds)], names=["list", "salt", "asked", "own", "shingles"])
+    links = [x for found in m._search(iter([batch])) for x in zip(*(c.to_pylist() for c in found.columns))]
+    reached = {0}
+    for _ in links:
+        reached |= {x for link in links if reached & set(link) for x in link}
+    assert reached == set(range(20)) and len(links) == 19
